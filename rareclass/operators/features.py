@@ -6,9 +6,11 @@ expressions on literals.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
@@ -115,7 +117,7 @@ def _long_points(df: DataFrame, features: list[str], key: str, label: str, seed)
     long = df.select(key, F.col(label).cast("int").alias("label"), F.explode(cells).alias("c"))
     tie = hash_int(5, hash_key(seed, F.col("c.feature"), F.col(key)))
     x = F.round(F.col("c.v") / GRID_STEP).cast("bigint") * F.lit(2**20) + tie
-    return long.select(F.col("c.feature").alias("feature"), "label", x.alias("x"))
+    return long.select(F.col(key).alias("key"), F.col("c.feature").alias("feature"), "label", x.alias("x"))
 
 
 def mutual_information_ksg(df: DataFrame, features: list[str], key: str = ROW_ID, label: str = TARGET,
@@ -141,10 +143,10 @@ def mutual_information_ksg(df: DataFrame, features: list[str], key: str = ROW_ID
                    F.struct((F.col("x") - F.col("r")).alias("at"), F.lit(2).alias("kind")))
     sweep = Window.partitionBy("feature").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     # kind 0 (right end) sorts before points at its place, kind 2 (left end) after them.
-    counted = (found.select("feature", "x", "n_label", "kk", "r", F.explode(ends).alias("e"))
-               .select("feature", "x", "n_label", "kk", "e.at", "e.kind")
+    counted = (found.select("feature", "key", "n_label", "kk", F.explode(ends).alias("e"))
+               .select("feature", "key", "n_label", "kk", "e.at", "e.kind")
                .withColumn("seen", F.count_if(F.col("kind") == 1).over(sweep)))
-    m = (counted.where("kind <> 1").groupBy("feature", "x", "n_label", "kk")
+    m = (counted.where("kind <> 1").groupBy("feature", "key", "n_label", "kk")
          .agg(F.sum(F.when(F.col("kind") == 0, F.col("seen")).otherwise(-F.col("seen"))).alias("m")))
     # digamma(n) = H(n-1) - gamma for integers; the four gammas cancel.
     stats = m.groupBy("feature", "n_label", "kk", "m").agg(F.count(F.lit(1)).alias("w"))
@@ -170,13 +172,16 @@ def mutual_information_binned(df: DataFrame, features: list[str], label: str = T
     """(feature, mutual_information) over exact quantile bins; works on tables of any size."""
     probs = [i / bins for i in range(1, bins)]
     cuts = exact_quantiles(df, features, probs)
-    edges = {c: sorted({cuts[(None, c, p)] for p in probs if cuts[(None, c, p)] is not None}) for c in features}
-    cells = []
-    for c in features:
-        # Number of cut points at or below the value.
-        b = sum((F.when(F.col(c) >= F.lit(e), 1).otherwise(0) for e in edges[c]), F.lit(0))
-        cells.append(F.struct(F.lit(c).alias("feature"), b.alias("bin"), F.col(c).isNotNull().alias("ok")))
-    long = df.select(F.col(label).cast("int").alias("label"), F.explode(F.array(*cells)).alias("c")).where("c.ok")
+    edges = [sorted({cuts[(None, c, p)] for p in probs if cuts[(None, c, p)] is not None}) or [0.0] for c in features]
+    names = [f"b{i}" for i in range(len(features))]
+    # Bin = number of cut points at or below the value; a missing value has no bin.
+    cut = Bucketizer(splitsArray=[[-math.inf, *e, math.inf] for e in edges], inputCols=features,
+                     outputCols=names, handleInvalid="keep")
+    binned = cut.transform(df.select(F.col(label).cast("int").alias("label"),
+                                     *[F.col(c).cast("double").alias(c) for c in features]))
+    cells = [F.struct(F.lit(c).alias("feature"), F.when(F.col(c).isNotNull(), F.col(b)).alias("bin"))
+             for c, b in zip(features, names)]
+    long = binned.select("label", F.explode(F.array(*cells)).alias("c")).where("c.bin is not null")
     joint = long.groupBy("c.feature", "c.bin", "label").agg(F.count(F.lit(1)).alias("n"))
     # Small tables from here on: features * bins * classes rows.
     by = lambda *cols: F.sum("n").over(Window.partitionBy(*cols)).cast("double")
