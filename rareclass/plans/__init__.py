@@ -1,0 +1,8 @@
+"""Test views, registered queries and the experiment protocol."""
+
+
+def registered_queries():
+    """(name -> Spark function, name -> SQL)."""
+    from rareclass.plans import catalog, queries_data  # noqa: F401
+
+    return catalog.QUERIES, catalog.ORACLES
