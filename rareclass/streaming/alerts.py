@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rareclass.functions.hashing import content_key
 from rareclass.operators.contract import quarantine
 from rareclass.operators.score import SCORE
 
 
 def stream_parquet(spark: SparkSession, path: str, schema=None, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder (or glob) of parquet files as a stream; the schema is read once if not given."""
+    """A parquet table as a stream; the schema is read once if not given.
+
+    The path is turned into a glob that matches only itself, so that a table stored as a
+    single file works like a folder.
+    """
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    path = path.rstrip("/")
+    path = f"{path[:-1]}[{path[-1]}]"
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 
-def unique_rows(stream: DataFrame, keys: list[str], time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """First copy of each row; state older than the watermark is dropped."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def unique_rows(stream: DataFrame, columns: list[str], time: str = "ts", delay: str = "1 hour") -> DataFrame:
+    """First copy of each row; the state holds one digest per row within the watermark."""
+    keyed = stream.withColumn("_key", content_key(*columns)).withWatermark(time, delay)
+    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def scored_stream(stream: DataFrame, score_rows) -> tuple[DataFrame, DataFrame]:
