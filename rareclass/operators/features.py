@@ -214,7 +214,7 @@ class MutualInformationSelector(Estimator, _Columns, DefaultParamsReadable, Defa
     @keyword_only
     def __init__(self, inputCols=None, k=20, maxRows=60_000, seed=SEED, method="ksg", outputCol="features"):
         super().__init__()
-        self._setDefault(inputCols=FEATURES)
+        self._setDefault(inputCols=FEATURES, k=20, maxRows=60_000, seed=SEED, method="ksg", outputCol="features")
         self._set(**{k_: v for k_, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df):

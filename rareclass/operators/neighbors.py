@@ -21,9 +21,6 @@ from rareclass.functions.hashing import hash_int, hash_key
 BLOCK_POINTS = 4096
 MAX_PIVOTS = 1024
 
-POINT = "pid bigint, x array<double>, m bigint"
-
-
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.zeros((len(a), len(b)))
     for j in range(a.shape[1]):
@@ -38,7 +35,7 @@ def _matrix(column) -> np.ndarray:
 
 def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step: int = 512) -> pd.DataFrame:
     """The k nearest members of each query, itself excluded; ties go to the smaller id."""
-    qid, mid = queries["pid"].to_numpy(), members["pid"].to_numpy()
+    qid, mid = _ids(queries), _ids(members)
     q_all, m_all, copies = _matrix(queries["x"]), _matrix(members["x"]), members["m"].to_numpy()
     pid, dist = [], []
     picked: list[int] = []
@@ -58,12 +55,17 @@ def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step:
 
 def _frame(pid, d2, nid, nx, nm) -> pd.DataFrame:
     return pd.DataFrame({
-        "pid": np.asarray(pid, dtype="int64"), "d2": np.asarray(d2, dtype=float),
-        "nid": np.asarray(nid, dtype="int64"), "nx": pd.Series(list(nx), dtype=object),
+        "pid": list(pid), "d2": np.asarray(d2, dtype=float), "nid": list(nid), "nx": pd.Series(list(nx), dtype=object),
         "nm": np.asarray(nm, dtype="int64")})
 
 
-NEAR = "pid bigint, d2 double, nid bigint, nx array<double>, nm bigint"
+def _ids(block: pd.DataFrame) -> np.ndarray:
+    """Ids as a typed array, numbers or texts alike."""
+    return np.asarray(block["pid"].tolist())
+
+
+def _id_type(points: DataFrame) -> str:
+    return points.schema["pid"].dataType.simpleString()
 
 
 def _block_join(queries: DataFrame, members: DataFrame, sizes: dict[int, int], k: int, block: int) -> DataFrame:
@@ -83,10 +85,12 @@ def _block_join(queries: DataFrame, members: DataFrame, sizes: dict[int, int], k
             return _frame([], [], [], [], [])
         return nearest_in_block(left, right, k)
 
+    kind = _id_type(members)
     # Fresh column identities: both sides stem from the same points.
     q = q.select(*keys, "pid", "x").toDF(*keys, "pid", "x")
     m = m.select(*keys, "pid", "x", "m").toDF(*keys, "pid", "x", "m")
-    return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(run, NEAR)
+    return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(
+        run, f"pid {kind}, d2 double, nid {kind}, nx array<double>, nm bigint")
 
 
 def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -98,7 +102,8 @@ def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
                 b["dc"] = np.sqrt(d.min(axis=1))
                 yield b
 
-    return points.mapInPandas(run, POINT + ", cell int, dc double")
+    return points.mapInPandas(
+        run, f"pid {_id_type(points)}, x array<double>, m bigint, cell int, dc double")
 
 
 def _route(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
@@ -126,7 +131,7 @@ def _route(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFr
                                     "x": pd.Series(list(b["x"].to_numpy()[row]), dtype=object),
                                     "cell": cell.astype("int32")})
 
-    return queries.mapInPandas(run, "pid bigint, x array<double>, cell int")
+    return queries.mapInPandas(run, f"pid {_id_type(queries)}, x array<double>, cell int")
 
 
 def _best(partial: DataFrame, k: int) -> DataFrame:

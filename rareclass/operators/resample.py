@@ -34,7 +34,9 @@ def smote(df: DataFrame, vector: str = "x", ratio: float = 0.10, k: int = 5, see
     """
     spread, minority_x, per_row = _plan(df, vector, ratio, k, seed, key, label)
     if spread == 0:
-        return df.sparkSession.createDataFrame([], "pid bigint, draw bigint, neighbor int, u double, x array<double>")
+        kind = df.schema[key].dataType.simpleString()
+        return df.sparkSession.createDataFrame(
+            [], f"pid {kind}, draw bigint, neighbor int, u double, x array<double>")
     points = minority_x.groupBy("x").agg(
         F.count(F.lit(1)).alias("m"), F.min(key).alias("pid"), F.sum(per_row).alias("draws"))
     near = nearest_neighbors(points, k, block)
