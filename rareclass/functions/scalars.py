@@ -41,9 +41,8 @@ def _is_missing_text(text: Column) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Text to double; missing and bad texts become NULL. The cheap cast decides most rows."""
-    value = text.try_cast("double")
     odd = text.rlike("[dDfFxX]") & ~F.lower(F.trim(text)).rlike(NUMBER_PATTERN)
-    return F.when(value.isNotNull() & ~F.isnan(value) & ~odd, value)
+    return F.when(~odd, F.nanvl(text.try_cast("double"), F.lit(None).cast("double")))
 
 
 def is_bad_number(text: Column, value: Column) -> Column:

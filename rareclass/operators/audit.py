@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rareclass.config import FEATURES, ROW_ID, TARGET
@@ -73,25 +73,24 @@ def class_distribution(df: DataFrame, label: str = TARGET) -> DataFrame:
     return counts.withColumn("percent", 100.0 * F.col("rows") / F.sum("rows").over(every))
 
 
-def fingerprint(df: DataFrame, columns: list[str], portable: bool = False) -> DataFrame:
-    """Order-insensitive digest of a table; one row ``(rows, digest)``.
+def row_hash(columns: list[str], portable: bool = False) -> Column:
+    """Hash of a row as a long. ``portable`` hashes texts with md5, which other engines repeat."""
+    if not portable:
+        return F.xxhash64(*columns)
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
-    ``portable`` hashes texts with md5, which other engines can repeat.
-    """
-    if portable:
-        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-        h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
-    else:
-        h = F.xxhash64(*columns)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("digest"))
+
+def fingerprint(df: DataFrame, columns: list[str], portable: bool = False) -> DataFrame:
+    """Order-insensitive digest of a table; one row ``(rows, digest)``."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row_hash(columns, portable)).alias("digest"))
 
 
 def provenance(df: DataFrame, expected_rows: int, expected_frauds: int, expected_digest: int,
                columns: list[str], label: str = TARGET, portable: bool = False) -> DataFrame:
-    """Compare rows, positives and digest with the recorded values."""
-    seen = fingerprint(df.select(*columns), columns, portable)
-    pos = df.agg(F.sum(F.col(label).cast("bigint")).alias("frauds"))
-    both = seen.withColumn("_one", F.lit(1)).join(pos.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return both.select("rows", "frauds", "digest", (
-        (F.col("rows") == expected_rows) & (F.col("frauds") == expected_frauds)
-        & (F.col("digest") == expected_digest)).alias("as_expected"))
+    """Compare rows, positives and digest with the recorded values, in one pass."""
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("bigint")).alias("frauds"),
+        F.bit_xor(row_hash(columns, portable)).alias("digest"))
+    return seen.withColumn("as_expected", (F.col("rows") == expected_rows) & (F.col("frauds") == expected_frauds)
+                           & (F.col("digest") == expected_digest))

@@ -123,43 +123,51 @@ def validate_training(df: DataFrame) -> None:
             raise DatasetError(text.format(", ".join(found[check])))
 
 
-def _numbers(df: DataFrame, features: list[str]) -> tuple[DataFrame, dict[str, str]]:
-    """``df`` with each text feature parsed once into a helper column, and the column to test."""
-    helpers = {c: f"_x_{c}" for c in features if _is_text(df, c)}
-    parsed = df.withColumns({h: number(df, c) for c, h in helpers.items()}) if helpers else df
-    return parsed, {c: helpers.get(c, c) for c in features}
-
-
-def _reasons(where: dict[str, str]) -> Column:
-    parts = []
-    for c, h in where.items():
-        x = F.col(h)
-        reason = F.when(is_bad_number(F.col(c), x), f"{c}:not_numeric") if h != c else F
-        reason = reason.when(x.isNull() | F.isnan(x), f"{c}:missing").when(is_infinite(x), f"{c}:infinite")
-        if c in NON_NEGATIVE:
-            reason = reason.when(x < 0, f"{c}:negative")
-        parts.append(reason)
-    return F.concat_ws(",", *parts)
-
-
-def _scorable(where: dict[str, str]) -> Column:
+def _finite(x: Column) -> Column:
+    return F.coalesce(F.abs(x) < INF, F.lit(False))  # NaN is above infinity
+
+
+def is_scorable(df: DataFrame, features: list[str] = FEATURES) -> Column:
+    """True for a row whose features are all finite numbers within their limits.
+
+    Texts are tested by one short lambda over an array: thirty inlined parsers would exceed
+    what the JVM compiles.
+    """
+    texts = [c for c in features if _is_text(df, c)]
     good = F.lit(True)
-    for c, h in where.items():
-        x = F.col(h)
-        low = x >= 0 if c in NON_NEGATIVE else x > -INF
-        good = good & F.coalesce(low & (x < INF), F.lit(False))  # NaN is above infinity
+    for c in features:
+        if c not in texts:
+            x = F.col(f"`{c}`").cast("double")
+            good = good & _finite(x) & ((x >= 0) if c in NON_NEGATIVE else F.lit(True))
+    if texts:
+        limited = [c for c in texts if c in NON_NEGATIVE]
+        every = F.array(*[F.col(f"`{c}`") for c in texts])
+        good = good & F.forall(every, lambda t: _finite(parse_number(t)))
+        if limited:
+            good = good & F.forall(F.array(*[F.col(f"`{c}`") for c in limited]), lambda t: parse_number(t) >= 0)
     return good
 
 
+def reject_reasons(df: DataFrame, features: list[str] = FEATURES) -> Column:
+    """Text such as ``V1:missing,Amount:negative``."""
+    none = {True: "CAST(NULL AS DOUBLE)", False: "CAST(NULL AS STRING)"}
+    cells = F.expr("array(%s)" % ", ".join(
+        f"named_struct('name', '{c}', 'x', {none[True] if _is_text(df, c) else f'CAST(`{c}` AS DOUBLE)'}, "
+        f"'t', {f'`{c}`' if _is_text(df, c) else none[False]}, 'limited', {c in NON_NEGATIVE})" for c in features))
+
+    def reason(c: Column) -> Column:
+        x = F.coalesce(no_nan(c["x"]), parse_number(c["t"]))
+        why = (F.when(x.isNull() & is_bad_number(c["t"], x), "not_numeric").when(x.isNull(), "missing")
+               .when(is_infinite(x), "infinite").when(c["limited"] & (x < 0), "negative"))
+        return F.concat(c["name"], F.lit(":"), why)
+
+    return F.array_join(F.transform(cells, reason), ",")
+
+
 def quarantine(df: DataFrame, features: list[str] = FEATURES) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows): two filters. Rejected rows get ``reasons``, a text such as
-    ``V1:missing,Amount:negative``, which is not computed for the others."""
-    parsed, where = _numbers(df, features)
-    good = _scorable(where)
-    helpers = [h for c, h in where.items() if h != c]
-    valid = parsed.where(good).drop(*helpers)
-    rejected = parsed.where(~good).withColumn("reasons", _reasons(where)).drop(*helpers)
-    return valid, rejected
+    """(valid rows, rejected rows with ``reasons``): two filters; reasons only for rejects."""
+    good = is_scorable(df, features)
+    return df.where(good), df.where(~good).withColumn("reasons", reject_reasons(df, features))
 
 
 def scoring_violations(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rareclass.config import ALGORITHMS, COMPONENTS, FEATURES, ROW_ID, TARGET
+from rareclass.session import spread
 
 # Injection rules of the test view.
 NULL_PERIOD = 89
@@ -23,13 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def component_columns() -> list[Column]:
-    out = []
-    for i, name in enumerate(COMPONENTS):
-        value = F.col("embedding")[i].cast("double")
-        if i < 3:
-            value = F.when(F.col("event_id") % NULL_PERIOD != i + 1, value)
-        out.append(value.alias(name))
-    return out
+    texts = [f"CAST(embedding[{i}] AS DOUBLE)" for i in range(len(COMPONENTS))]
+    for i in range(3):
+        texts[i] = f"CASE WHEN event_id % {NULL_PERIOD} <> {i + 1} THEN {texts[i]} END"
+    return [F.expr(f"{t} AS {c}") for t, c in zip(texts, COMPONENTS)]
 
 
 def micros(col: Column) -> Column:
@@ -58,7 +56,8 @@ def fixture_scalars(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 def transactions_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, start = fixture_scalars(spark, sf_dir)
-    return join_transactions(table(spark, sf_dir, "events"), table(spark, sf_dir, "embeddings"), n, start)
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
+    return join_transactions(events, table(spark, sf_dir, "embeddings"), n, start)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,17 +6,28 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from rareclass.config import COMPONENTS, FEATURES, ROBUST_COLUMNS, ROW_ID, TARGET
+from rareclass.config import COMPONENTS, FEATURES, ROBUST_COLUMNS, ROW_ID, TARGET, TrainingConfig
 from rareclass.operators import features, profile, resample, score
-from rareclass.operators.split import stratified_split
+from rareclass.operators.split import bounded_sample, stratified_split
 from rareclass.plans.catalog import query, rounded
 from rareclass.plans.fixture import transactions
 from rareclass.plans.oracle import RANKED, hash_int_sql, hash_sql, hash_unit_sql, rnd, sql, union
+from rareclass.session import materialize
 
 COLUMNS = [*FEATURES, TARGET]
 
 
+def split_table(spark, d):
+    """The split, written once as the pipeline does, for queries that read it several times."""
+    return materialize(stratified_split(transactions(spark, d)), "split")
+
+
+def training_table(spark, d):
+    return split_table(spark, d).where("partition = 'train'").drop("partition")
+
+
 def training(spark, d):
+    """Training rows for queries of one or two passes; nothing is written."""
     return stratified_split(transactions(spark, d)).where("partition = 'train'").drop("partition")
 
 
@@ -26,7 +37,7 @@ def training(spark, d):
     f"""SELECT Class, '{c}' AS feature, {rnd(f"AVG({c})", "mean", 5)}, {rnd(f"MEDIAN({c})", "median", 5)},
  {rnd(f"STDDEV_SAMP({c})", "std", 5)} FROM train GROUP BY Class""" for c in FEATURES), "train"))
 def class_feature_profile(spark, d):
-    return rounded(profile.class_profile(training(spark, d)), 5)
+    return rounded(profile.class_profile(training_table(spark, d)), 5)
 
 
 @query("class_amount_median", sql(f"SELECT Class, {rnd('MEDIAN(Amount)', 'median')} FROM train GROUP BY Class", "train"))
@@ -85,7 +96,7 @@ _TOP2 = f"""SELECT feature FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY ABS(r) DE
  WHERE q.feature IN (SELECT feature FROM top2) GROUP BY q.Class, q.feature, q1, med, q3""", "train", extra=[
     ("long", union(f"SELECT Class, '{c}' AS feature, {c} AS v FROM train" for c in COMPONENTS)), ("top2", _TOP2)]))
 def box_stats(spark, d):
-    train = training(spark, d)
+    train = training_table(spark, d)
     return rounded(profile.box_stats(train, profile.top_components(train)))
 
 
@@ -121,7 +132,7 @@ _PREP = [("imputed", _IMPUTED), ("itrain", "SELECT * FROM imputed WHERE \"partit
 @query("impute_median", sql("SELECT row_id, " + ", ".join(rnd(c) for c in ["V1", "V2", "V3"]) + " FROM imputed",
                             "split", "train", extra=_PREP[:1]))
 def impute_median(spark, d):
-    split = stratified_split(transactions(spark, d))
+    split = split_table(spark, d)
     model = features.MedianImputer().fit(split.where("partition = 'train'"))
     return rounded(model.transform(split).select(ROW_ID, "V1", "V2", "V3"))
 
@@ -129,7 +140,7 @@ def impute_median(spark, d):
 @query("imputer_statistics", sql(union(
     f"SELECT '{c}' AS feature, {rnd(f'COALESCE(MEDIAN({c}), 0)', 'median', 5)} FROM train" for c in FEATURES), "train"))
 def imputer_statistics(spark, d):
-    m = features.MedianImputer().fit(training(spark, d))
+    m = features.MedianImputer().fit(training_table(spark, d))
     return rounded(spark.createDataFrame(list(zip(m.columns(), m.getOrDefault("medians"))), "feature string, median double"), 5)
 
 
@@ -137,7 +148,7 @@ def imputer_statistics(spark, d):
     f"SELECT '{c}' AS feature, {rnd(_SCALE[c][0], 'center', 5)}, {rnd(_SCALE[c][1], 'scale', 5)}" for c in FEATURES),
     "split", "train", extra=_PREP))
 def scaler_statistics(spark, d):
-    train = training(spark, d)
+    train = training_table(spark, d)
     m = features.MixedScaler().fit(features.MedianImputer().fit(train).transform(train))
     rows = list(zip(m.columns(), m.getOrDefault("center"), m.getOrDefault("scale")))
     return rounded(spark.createDataFrame(rows, "feature string, center double, scale double"), 5)
@@ -147,7 +158,7 @@ def scaler_statistics(spark, d):
     rnd(f"({c} - {_SCALE[c][0]}) / {_SCALE[c][1]}", c, 5) for c in FEATURES) + " FROM imputed",
     "split", "train", extra=_PREP))
 def scaled_features(spark, d):
-    split = stratified_split(transactions(spark, d))
+    split = split_table(spark, d)
     train = split.where("partition = 'train'")
     imputer = features.MedianImputer().fit(train)
     scaler = features.MixedScaler().fit(imputer.transform(train))
@@ -174,13 +185,13 @@ _BINNED = _binned_sql()
 
 @query("mi_binned", _BINNED)
 def mi_binned(spark, d):
-    return rounded(features.mutual_information_binned(training(spark, d), FEATURES, bins=BINS))
+    return rounded(features.mutual_information_binned(training_table(spark, d), FEATURES, bins=BINS))
 
 
 @query("mi_ranking", f"""SELECT feature, mutual_information, ROW_NUMBER() OVER (ORDER BY mutual_information DESC,
  list_position([{', '.join(f"'{c}'" for c in FEATURES)}], feature) DESC) <= 20 AS selected FROM ({_BINNED})""")
 def mi_ranking(spark, d):
-    scores = rounded(features.mutual_information_binned(training(spark, d), FEATURES, bins=BINS))
+    scores = rounded(features.mutual_information_binned(training_table(spark, d), FEATURES, bins=BINS))
     return features.rank_features(scores, FEATURES, 20)
 
 
@@ -194,14 +205,21 @@ def _psi(col: str) -> str:
     return f"(CASE WHEN {col} <= 20 THEN {small}[CAST({col} AS INTEGER)]::DOUBLE ELSE {series} END)"
 
 
+RANKING_ROWS = TrainingConfig().selection_max_rows  # this estimate is defined on a bounded stratified sample
+KSG_FEATURES = ["Time", *COMPONENTS[3:], "Amount"]  # the columns without missing values
+
+
 def _ksg_sql() -> str:
     long = union(
         f"""SELECT '{c}' AS feature, row_id, Class, CAST(ROUND({c} / 1e-6::DOUBLE) AS BIGINT) * {2**20}
- + {hash_int_sql(5, hash_sql(f"'{c}'", "row_id"))} AS x FROM train WHERE {c} IS NOT NULL""" for c in KSG_FEATURES)
+ + {hash_int_sql(5, hash_sql(f"'{c}'", "row_id"))} AS x FROM ranking WHERE {c} IS NOT NULL""" for c in KSG_FEATURES)
     near = ", ".join([f"LEAD(x, {i}) OVER w - x" for i in (1, 2, 3)] + [f"x - LAG(x, {i}) OVER w" for i in (1, 2, 3)])
     return sql(
         f"""SELECT feature, {rnd(f"GREATEST(AVG({_psi('n')} + {_psi('kk')} - {_psi('nl')} - {_psi('m')}), 0)", "mutual_information")}
  FROM counted GROUP BY feature""", "train", extra=[
+            ("size", "SELECT COUNT(*) AS n, CAST(SUM(Class) AS BIGINT) AS p FROM train"),
+            ("ranking", f"""SELECT t.* FROM (SELECT *, {RANKED} AS rk FROM train) t CROSS JOIN size WHERE n <= {RANKING_ROWS}
+ OR rk <= CASE WHEN Class = 1 THEN (2 * {RANKING_ROWS} * p + n) // (2 * n) ELSE {RANKING_ROWS} - (2 * {RANKING_ROWS} * p + n) // (2 * n) END"""),
             ("long", long),
             ("d", f"""SELECT *, list_sort(list_filter([{near}], lambda t: t IS NOT NULL)) AS ds, COUNT(*) OVER (PARTITION BY feature, Class) AS nl
  FROM long WINDOW w AS (PARTITION BY feature, Class ORDER BY x)"""),
@@ -210,12 +228,10 @@ def _ksg_sql() -> str:
  RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m FROM rad""")])
 
 
-KSG_FEATURES = ["Time", *COMPONENTS[3:], "Amount"]  # the columns without missing values
-
-
 @query("mi_ksg", _ksg_sql())
 def mi_ksg(spark, d):
-    return rounded(features.mutual_information_ksg(training(spark, d), KSG_FEATURES))
+    sample = bounded_sample(training_table(spark, d), RANKING_ROWS)
+    return rounded(features.mutual_information_ksg(sample, KSG_FEATURES))
 
 
 # --- resampling ---------------------------------------------------------------------------

@@ -21,6 +21,10 @@ def build_session(app: str = "rareclass", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Larger generated methods are not compiled by the JVM; wide tables reach that size.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Call-site capture costs more than building a wide plan does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -34,7 +38,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     It lies under ``spark.checkpoint.dir``. Only a local session without that setting
     (tests) gets a temporary folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
@@ -48,3 +52,12 @@ def materialize(df, name: str):
     path = shared_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Use all cores on a small input: repartition only if it has fewer splits than cores.
+
+    A large table has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
