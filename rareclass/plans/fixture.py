@@ -18,6 +18,8 @@ NULL_PERIOD = 89
 COPY_PERIOD = 97
 POSITIVE_TYPES = ["error", "purchase"]
 
+BROADCAST_VECTORS = 50_000  # about 20 MB of vectors; a larger table takes the shuffle join
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,7 +39,9 @@ def micros(col: Column) -> Column:
 def join_transactions(events: DataFrame, vectors: DataFrame, n_vectors: int, start_micros: int) -> DataFrame:
     """Events with their vector. An equi-join on a computed key that is uniform by design."""
     e = events.select("event_id", "ts", "event_type", "value", (F.col("event_id") % n_vectors).alias("vec_id"))
-    joined = e.join(vectors.select("vec_id", "embedding", "label"), "vec_id")
+    side = vectors.select("vec_id", "embedding", "label")
+    # Left to itself, the planner broadcasts a small event side and scans on in one task.
+    joined = e.join(F.broadcast(side) if n_vectors <= BROADCAST_VECTORS else side, "vec_id")
     positive = (F.col("label") == 0) & F.col("event_type").isin(POSITIVE_TYPES)
     return joined.select(
         F.col("event_id").alias(ROW_ID), "ts",

@@ -58,6 +58,20 @@ def hash_unit_sql(h: str) -> str:
 
 RANKED = f"ROW_NUMBER() OVER (PARTITION BY Class ORDER BY {hash_sql('row_id')}, row_id)"
 
+def _fold_count(end: str, start: str, i: int) -> str:
+    return f"(({end} - {i} + 2) // 3 - ({start} - {i} + 2) // 3)"
+
+
+FOLDED = f"""SELECT r.row_id, r.Class, CAST(CASE WHEN r.r <= f1 THEN 1 WHEN r.r <= f1 + f2 THEN 2 ELSE 3 END AS INTEGER) AS fold
+ FROM (SELECT row_id, Class, {RANKED} AS r FROM tx) r JOIN (
+ SELECT 0 AS c, {_fold_count("(n - p)", "0", 0)} AS f1, {_fold_count("(n - p)", "0", 1)} AS f2 FROM tot UNION ALL
+ SELECT 1, {_fold_count("n", "(n - p)", 0)}, {_fold_count("n", "(n - p)", 1)} FROM tot) s ON r.Class = s.c"""
+
+
+def fold_score_sql() -> str:
+    return _logistic("bias", _WEIGHT_NAMES)
+
+
 CTES = {
     "z": "SELECT MIN(EPOCH_US(ts)) AS t0 FROM events",
     "nv": "SELECT COUNT(*) AS n FROM embeddings",

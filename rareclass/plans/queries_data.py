@@ -8,7 +8,7 @@ from rareclass.config import COMPONENTS, FEATURES, NON_NEGATIVE, ROW_ID, TARGET
 from rareclass.operators import audit, contract, split
 from rareclass.plans.catalog import query, rounded
 from rareclass.plans.fixture import raw_transactions, table, text_transactions, transactions
-from rareclass.plans.oracle import RANKED, hash_sql, rnd, sql, text_missing, text_number, union
+from rareclass.plans.oracle import FOLDED, RANKED, hash_sql, rnd, sql, text_missing, text_number, union
 
 COLUMNS = [*FEATURES, TARGET]
 LINE_KEY = ["l_quantity", "l_discount", "l_tax"]
@@ -202,17 +202,7 @@ def bounded_sample(spark, d):
     return split.bounded_sample(tx, int(SAMPLE_SHARE * tx.count())).select(ROW_ID, TARGET)
 
 
-def _fold_count(end: str, start: str, i: int) -> str:
-    return f"(({end} - {i} + 2) // 3 - ({start} - {i} + 2) // 3)"
-
-
-_FOLDED = f"""SELECT r.row_id, r.Class, CAST(CASE WHEN r.r <= f1 THEN 1 WHEN r.r <= f1 + f2 THEN 2 ELSE 3 END AS INTEGER) AS fold
- FROM (SELECT row_id, Class, {RANKED} AS r FROM tx) r JOIN (
- SELECT 0 AS c, {_fold_count("(n - p)", "0", 0)} AS f1, {_fold_count("(n - p)", "0", 1)} AS f2 FROM tot UNION ALL
- SELECT 1, {_fold_count("n", "(n - p)", 0)}, {_fold_count("n", "(n - p)", 1)} FROM tot) s ON r.Class = s.c"""
-
-
-@query("kfold_members", sql("SELECT row_id, fold FROM folds", "tx", "tot", extra=[("folds", _FOLDED)]))
+@query("kfold_members", sql("SELECT row_id, fold FROM folds", "tx", "tot", extra=[("folds", FOLDED)]))
 def kfold_members(spark, d):
     return split.stratified_folds(transactions(spark, d), 3).select(ROW_ID, "fold")
 
@@ -220,7 +210,7 @@ def kfold_members(spark, d):
 @query("fold_summary", sql("""SELECT fold, CAST(SUM(n) OVER () - n AS BIGINT) AS train_rows,
  CAST(SUM(p) OVER () - p AS BIGINT) AS train_frauds, n AS validation_rows, p AS validation_frauds
  FROM (SELECT fold, COUNT(*) AS n, CAST(SUM(Class) AS BIGINT) AS p FROM folds GROUP BY fold)""", "tx", "tot",
-                         extra=[("folds", _FOLDED)]))
+                         extra=[("folds", FOLDED)]))
 def fold_summary(spark, d):
     return split.fold_summary(split.stratified_folds(transactions(spark, d), 3))
 

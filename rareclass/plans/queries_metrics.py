@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from rareclass.config import COMPONENTS, FEATURES, ROW_ID, TARGET
 from rareclass.operators import compare, contract, metrics, models, score
-from rareclass.operators.split import stratified_split
+from rareclass.operators.split import stratified_folds, stratified_split
 from rareclass.plans import fixture
 from rareclass.plans.catalog import query, rounded
 from rareclass.plans.fixture import FLAGSHIP, experiment_name, fixed_score, long_scores, transactions
-from rareclass.plans.oracle import fixed_score_sql, rate_columns, rnd, sql
-from rareclass.session import shared_dir
+from rareclass.plans.oracle import FOLDED, fixed_score_sql, fold_score_sql, rate_columns, rnd, sql
+from rareclass.session import materialize, shared_dir
 from rareclass.streaming import alerts
 
 THRESHOLD = 0.1
@@ -149,15 +149,35 @@ def dummy_metrics(spark, d):
     return rounded(metrics.metric_rows(s), 8)
 
 
+@query("fold_score_summary", sql(f"""SELECT experiment, {rnd("AVG(ap)", "mean_cv_ap", 8)}, {rnd("STDDEV_POP(ap)", "std_cv_ap", 8)} FROM
+ (SELECT experiment, fold, SUM(pos * (tp::DOUBLE / (tp + fp))) / MAX(p)::DOUBLE AS ap FROM (SELECT *, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp,
+ SUM(pos) OVER (PARTITION BY experiment, fold) AS p FROM (SELECT w.experiment, fold, {fold_score_sql()} AS score,
+ CAST(SUM(tx.Class) AS BIGINT) AS pos, CAST(SUM(1 - tx.Class) AS BIGINT) AS neg FROM folds JOIN tx ON folds.row_id = tx.row_id CROSS JOIN weights w GROUP BY ALL)
+ WINDOW w AS (PARTITION BY experiment, fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING)) GROUP BY ALL) GROUP BY experiment""",
+    "tx", "tot", "weights", extra=[("folds", FOLDED)]))
+def fold_score_summary(spark, d):
+    """Mean and population std over folds of each candidate's average precision."""
+    folds = stratified_folds(transactions(spark, d), 3)
+    s = long_scores(folds, keep=["fold"]).withColumn("partition", F.col("fold").cast("string"))
+    ap = metrics.curve(s).groupBy(*metrics.GROUP).agg(metrics.average_precision_expr())
+    return rounded(ap.groupBy("experiment").agg(
+        F.avg("average_precision").alias("mean_cv_ap"), F.stddev_pop("average_precision").alias("std_cv_ap")), 8)
+
+
 # --- comparison of experiments ------------------------------------------------------------
 
 # Fit records of the fixed scorers: fixed seconds, train metrics measured on the train rows.
-def _fits(spark, d):
-    train = metrics.metric_rows(scored(spark, d, ["train"])).select(
+def _fits(rows):
+    train = rows.where("partition = 'train'").select(
         "experiment", F.col("average_precision").alias("train_average_precision"), F.col("f1").alias("train_f1"))
     return compare.with_names(train).withColumn("fit_seconds", F.lit(1.0))
 
 
+def _all_points(spark, d):
+    """Curves of all partitions, written once: the comparison reads them several times."""
+    return materialize(metrics.curve(scored(spark, d, ["train", "validation", "test"])), "curves")
+
+
 _TRAIN = [
     ("tpts", """SELECT experiment, score, CAST(SUM(label) AS BIGINT) AS pos, CAST(SUM(1 - label) AS BIGINT) AS neg
  FROM scores WHERE "partition" = 'train' GROUP BY ALL"""),
@@ -191,9 +211,12 @@ def _named(spark, d):
  ON n.experiment = t.experiment AND n."partition" = t."partition" WHERE n.experiment IN (SELECT experiment FROM best))""",
     "conf", "areas", "weights", extra=_TRAIN))
 def model_comparison(spark, d):
-    p = points(spark, d)
-    chosen = compare.select_experiment(_named(spark, d)).first()["experiment"]
-    return rounded(compare.comparison_table(p, _fits(spark, d), chosen, THRESHOLD), 8)
+    every = _all_points(spark, d)
+    rows = metrics.metric_rows_of_curve(every)
+    named = compare.with_names(rounded(rows, 8))
+    chosen = compare.select_experiment(named).first()["experiment"]
+    tested = every.where("partition <> 'train'")
+    return rounded(compare.comparison_table(tested, _fits(rows), chosen, THRESHOLD), 8)
 
 
 @query("select_experiment", sql(f"SELECT experiment, average_precision, f1 FROM named WHERE experiment IN (SELECT experiment FROM best) AND \"partition\" = 'validation'",
@@ -234,9 +257,9 @@ def tuning_effect(spark, d):
     f"""SELECT experiment, "partition", {rnd("tap", "train_average_precision")}, {rnd("average_precision")}, {rnd("tap - average_precision", "ap_gap")} FROM named""",
     "conf", "areas", "weights", extra=_TRAIN))
 def generalisation_gap(spark, d):
-    m = metrics.metric_rows(scored(spark, d)).join(
-        _fits(spark, d).select("experiment", "train_average_precision"), "experiment")
-    return rounded(compare.generalisation_gap(m))
+    rows = metrics.metric_rows_of_curve(_all_points(spark, d))
+    train = _fits(rows).select("experiment", "train_average_precision")
+    return rounded(compare.generalisation_gap(rows.where("partition <> 'train'").join(train, "experiment")))
 
 
 @query("experiment_lookup", sql("""SELECT DISTINCT experiment, algorithm || ' | ' || imbalance || ' | ' || stage AS rebuilt FROM scores

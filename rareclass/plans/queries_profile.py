@@ -195,6 +195,22 @@ def mi_ranking(spark, d):
     return features.rank_features(scores, FEATURES, 20)
 
 
+SELECTED = 5
+
+
+@query("select_topk", sql(f"""SELECT l.row_id, l.feature, l.value FROM ({union(
+    f"SELECT row_id, '{c}' AS feature, {c} AS value FROM train" for c in FEATURES)}) l JOIN (SELECT feature FROM ({_BINNED})
+ ORDER BY mutual_information DESC, list_position([{', '.join(f"'{c}'" for c in FEATURES)}], feature) DESC LIMIT {SELECTED}) k
+ ON l.feature = k.feature""", "train"))
+def select_topk(spark, d):
+    """Selection applied as a projection, then reshaped so that the chosen names are values."""
+    train = training_table(spark, d)
+    scores = rounded(features.mutual_information_binned(train, FEATURES, bins=BINS))
+    kept = {r["feature"] for r in features.rank_features(scores, FEATURES, SELECTED).where("selected").collect()}
+    names = [c for c in FEATURES if c in kept]
+    return train.select(ROW_ID, *names).unpivot([ROW_ID], names, "feature", "value")
+
+
 _SERIES = ("LN(n) - 1 / (2 * n) - 1 / (12 * n * n) + 1 / (120 * n * n * n * n) - 1 / (252 * n * n * n * n * n * n)"
            " + 0.5772156649015329")
 
