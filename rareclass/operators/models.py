@@ -19,7 +19,7 @@ from rareclass.operators.resample import smote
 
 MAX_TREE_DEPTH = 30  # deepest tree the library grows; stands for "unlimited"
 MAX_BINS = 128
-TREE_MEMORY_MB = 1024
+TREE_MEMORY_MB = 256  # per task: one histogram group of nodes
 
 
 # The search spaces.
