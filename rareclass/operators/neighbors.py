@@ -89,6 +89,10 @@ def _block_join(queries: DataFrame, members: DataFrame, sizes: dict[int, int], k
     # Fresh column identities: both sides stem from the same points.
     q = q.select(*keys, "pid", "x").toDF(*keys, "pid", "x")
     m = m.select(*keys, "pid", "x", "m").toDF(*keys, "pid", "x", "m")
+    # No more tasks than block pairs: an empty task still costs a Python worker.
+    pairs = sum(max(1, math.ceil(n / block)) ** 2 for n in sizes.values())
+    tasks = min(pairs, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    q, m = q.repartition(tasks, *keys), m.repartition(tasks, *keys)
     return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(
         run, f"pid {kind}, d2 double, nid {kind}, nx array<double>, nm bigint")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ def smote(df: DataFrame, vector: str = "x", ratio: float = 0.10, k: int = 5, see
     minority rows. Equal vectors are kept as one point with a count, so a vector that many
     rows share costs no more than any other.
     """
-    spread, minority_x, per_row = _plan(df, vector, ratio, k, seed, key, label)
-    if spread == 0:
+    n_new, minority_x, per_row = _plan(df, vector, ratio, k, seed, key, label)
+    if n_new == 0:
         kind = df.schema[key].dataType.simpleString()
         return df.sparkSession.createDataFrame(
             [], f"pid {kind}, draw bigint, neighbor int, u double, x array<double>")
@@ -47,7 +49,8 @@ def smote(df: DataFrame, vector: str = "x", ratio: float = 0.10, k: int = 5, see
     # A point with very many draws is emitted in blocks that land in different tasks.
     blocks = both.withColumn("b", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.floor((F.col("draws") - 1) / EMIT_BLOCK))))
-    blocks = blocks.repartition("pid", "b")
+    limit = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(min(limit, math.ceil(n_new / EMIT_BLOCK)), "pid", "b")
     first = F.col("b") * EMIT_BLOCK
     draws = blocks.withColumn("draw", F.explode(F.sequence(
         first + 1, F.least(first + EMIT_BLOCK, F.col("draws")))))
