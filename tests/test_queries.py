@@ -19,7 +19,7 @@ def duck(sf):
 
 
 def test_registry():
-    assert set(ORACLES) <= set(queries()) and queries() == QUERIES
+    assert set(ORACLES) <= set(queries()) and set(QUERIES) <= set(queries())
     assert len(ORACLES) >= 70
 
 
