@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareclass.llm import near_dedup, packing, substring_dedup
+from rareclass.llm import embedding_dedup, line_dedup, near_dedup, packing, secrets, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,7 +50,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Words of a document are its runs of other characters than space and \\x09-\\x0D.
 OP4_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
   FROM documents),
 wins AS (
   SELECT doc_id, unnest(range(1, len(ws) - 11)) AS p, ws FROM w WHERE len(ws) >= 13),
@@ -60,7 +60,7 @@ gone AS (SELECT doc_id, list(DISTINCT q) AS qs FROM (
   SELECT doc_id, unnest(range(p, p + 13)) AS q FROM judged WHERE rep) GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(qs), 0)::BIGINT AS n_removed,
   sha256(array_to_string(
-    CASE WHEN qs IS NULL THEN ws ELSE list_filter(ws, (x, i) -> NOT list_contains(qs, i)) END, ' ')) AS kept_sha256
+    CASE WHEN qs IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(qs, i)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
@@ -69,3 +69,60 @@ FROM w LEFT JOIN gone USING (doc_id)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 13-word windows that a smaller document also has."""
     return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+n AS (
+  SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: trim(ls[i], E' \t\r\f') <> '') AS nb FROM d),
+wins AS (
+  SELECT doc_id, unnest(range(1, len(nb) - 1)) AS s, ls, nb FROM n WHERE len(nb) >= 3),
+keyed AS (SELECT doc_id, s, [ls[nb[s]], ls[nb[s + 1]], ls[nb[s + 2]]] AS win FROM wins),
+judged AS (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) > 1 AS rep FROM keyed),
+gone AS (SELECT doc_id, list(DISTINCT q) AS qs FROM (
+  SELECT doc_id, unnest(range(s, s + 3)) AS q FROM judged WHERE rep) GROUP BY doc_id),
+-- A blank line goes if the lines before and after it are of one deleted run.
+raw AS (
+  SELECT n.doc_id, ls, nb, qs, list_filter(range(1, len(ls) + 1), lambda i: NOT (
+    qs IS NOT NULL AND (list_contains(qs, list_position(nb, i))
+      OR (NOT list_contains(nb, i) AND
+          list_contains(qs, len(list_filter(nb, lambda x: x < i)))
+          AND list_contains(qs, len(list_filter(nb, lambda x: x < i)) + 1)
+          ))) IS NOT FALSE) AS stay
+  FROM n LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(nb)::BIGINT AS n_lines, coalesce(len(qs), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_transform(stay, lambda i: ls[i]), chr(10))) AS kept_sha256
+FROM raw
+"""
+
+
+@query("op6_line_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without runs of three lines or more that an earlier place also has."""
+    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of whole documents, learned from the labels that are not held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def secret_config() -> secrets.SecretConfig:
+    import public_tokenizers
+
+    return secrets.SecretConfig(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op9_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in whole documents: base patterns, and strings of low token efficiency."""
+    return secrets.scan(table(spark, sf_dir, "documents"), secret_config()).drop("redacted")
+
+
+@query("op10_embedding_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of vectors of one label that are near by cosine."""
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
