@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareclass.llm import embedding_dedup, line_dedup, near_dedup, packing, secrets, substring_dedup, toxicity
+from rareclass.llm import embedding_dedup, line_dedup, near_dedup, packing, revisits, secrets, sentence_pieces, substring_dedup, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,100 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of vectors of one label that are near by cosine."""
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+WITH c AS (
+  SELECT DISTINCT vec_id AS id, CAST(list_sum(list_transform(range(1, 65), lambda i:
+    CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (i - 1)::INTEGER ELSE 0::HUGEINT END)) AS UBIGINT) AS code
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+d AS (
+  SELECT q.id AS query_id, b.id, CAST(bit_count(xor(q.code, b.code)) AS INTEGER) AS distance
+  FROM c q JOIN c b ON q.id % 50 = 0 AND b.id <> q.id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, id, distance FROM r WHERE rank <= 10
+"""
+
+
+@query("op5_exact_top_k", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest sign codes of every vector whose id is divisible by 50, among all vectors."""
+    codes = topk.sign_codes(table(spark, sf_dir, "embeddings"))
+    return topk.exact_top_k(codes, codes.where("id % 50 = 0"))
+
+
+@query("op2_sentence_pieces")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole document, and whether decoding them gives the text again."""
+    config = sentence_pieces.PieceConfig(tokenizer_path("piece_bpe_32k.model"))
+    documents = table(spark, sf_dir, "documents").withColumn("whole", F.coalesce("text", F.lit("")))
+    encoded = sentence_pieces.encode(documents, config, ["doc_id", "whole"])
+    back = sentence_pieces.decode(encoded, config, ["doc_id", "whole", "ids"])
+    return (sentence_pieces.checksums(back.withColumn("same", F.col("whole") == F.col("text")))
+            .select("doc_id", "n_pieces", "ids_crc32", "same"))
+
+
+def capture_records(pages: DataFrame) -> DataFrame:
+    """Captures of each page: one full response, and three revisits around it."""
+    return pages.select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j")).selectExpr(
+        "page_id * 4 + j AS record_id", "if(j = 0, 'response', 'revisit') AS kind",
+        "CASE j WHEN 1 THEN replace(url, 'http://', 'HTTPS://') WHEN 3 THEN concat(url, '#again') ELSE url END AS url",
+        """1700000000 + page_id * 60 + CASE j WHEN 1 THEN 86400 * (1 + page_id % 40) WHEN 2 THEN -86400 * (page_id % 3)
+           WHEN 3 THEN 86400 * 400 + page_id % 1000 ELSE 0 END AS captured_at""",
+        """CASE WHEN j = 0 THEN concat('"', substr(md5(html), 1, 16), '"')
+           WHEN j = 1 THEN concat('W/"', substr(md5(html), 1, 16), '"')
+           WHEN j = 3 AND page_id % 5 = 0 THEN '"other"'
+           WHEN j = 3 AND page_id % 5 > 1 THEN concat('"', substr(md5(html), 1, 16), '"') END AS etag""",
+        "CASE WHEN j = 0 THEN concat('D', page_id % 1000) WHEN j = 3 THEN concat('D', page_id % 1000 + if(page_id % 10 = 1, 1, 0)) END AS last_modified",
+        "length(html) AS size", "page_id").selectExpr(
+        "record_id", "kind", "url", "captured_at", "etag", "last_modified",
+        """if(kind = 'response',
+             map('Content-Type', 'text/html', 'ETag', etag, 'Content-Length', cast(size AS string), 'Date', cast(captured_at AS string)),
+             map('date', cast(captured_at AS string), 'cache-control', concat('max-age=', page_id % 100), 'content-length', '0', 'etag', etag)
+           ) AS headers""")
+
+
+OP8_SQL = r"""
+WITH p AS (SELECT page_id, url, html, unnest(range(0, 4)) AS j FROM pages),
+r AS (
+  SELECT page_id * 4 + j AS record_id, j = 0 AS full_, page_id, length(html) AS size,
+    CASE j WHEN 1 THEN replace(url, 'http://', 'HTTPS://') WHEN 3 THEN url || '#again' ELSE url END AS url,
+    1700000000 + page_id * 60 + CASE j WHEN 1 THEN 86400 * (1 + page_id % 40) WHEN 2 THEN -86400 * (page_id % 3)
+      WHEN 3 THEN 86400 * 400 + page_id % 1000 ELSE 0 END AS at_,
+    CASE WHEN j = 0 THEN '"' || substr(md5(html), 1, 16) || '"'
+      WHEN j = 1 THEN 'W/"' || substr(md5(html), 1, 16) || '"'
+      WHEN j = 3 AND page_id % 5 = 0 THEN '"other"'
+      WHEN j = 3 AND page_id % 5 > 1 THEN '"' || substr(md5(html), 1, 16) || '"' END AS etag,
+    CASE WHEN j = 0 THEN 'D' || (page_id % 1000)
+      WHEN j = 3 THEN 'D' || (page_id % 1000 + CASE WHEN page_id % 10 = 1 THEN 1 ELSE 0 END) END AS last_modified
+  FROM p),
+b AS (SELECT *, regexp_replace(split_part(trim(url), '#', 1), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM r),
+h AS (SELECT *, regexp_extract(bare, '^[^/?]*') AS host, regexp_replace(bare, '^[^/?]*', '') AS rest FROM b),
+q AS (SELECT *, regexp_replace(regexp_extract(rest, '^[^?]*'), '/+$', '') AS path, list_sort(list_filter(
+    string_split(regexp_replace(rest, '^[^?]*\??', ''), '&'),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS params FROM h),
+k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(lower(host), '^www\.', ''), ':(80|443)$', '')
+    || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS url_key FROM q),
+resp AS (SELECT url_key, at_, max(record_id) AS response_id FROM k WHERE full_ GROUP BY ALL),
+m AS (
+  SELECT v.*, resp.response_id FROM (SELECT * FROM k WHERE NOT full_) v
+  ASOF LEFT JOIN resp ON v.url_key = resp.url_key AND v.at_ > resp.at_),
+s AS (
+  SELECT m.record_id, m.url_key, m.response_id, CASE WHEN m.response_id IS NULL THEN 'no_response'
+      WHEN m.etag IS NOT NULL THEN CASE WHEN regexp_replace(m.etag, '^W/', '') = o.etag THEN 'resolved' ELSE 'mismatch' END
+      WHEN m.last_modified IS NOT NULL THEN CASE WHEN m.last_modified = o.last_modified THEN 'resolved' ELSE 'mismatch' END
+      ELSE 'unchecked' END AS status,
+    'cache-control: max-age=' || (m.page_id % 100) || chr(10) || 'content-length: ' || o.size || chr(10)
+      || 'content-type: text/html' || chr(10) || 'date: ' || m.at_ || chr(10) || 'etag: ' || coalesce(m.etag, o.etag) AS headers
+  FROM m LEFT JOIN k o ON o.record_id = m.response_id)
+SELECT record_id, url_key, response_id, status,
+  CASE WHEN status IN ('resolved', 'unchecked') THEN headers END AS headers FROM s
+"""
+
+
+@query("op8_warc_revisits", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of the pages' captures, resolved to earlier responses."""
+    found = revisits.resolve_revisits(capture_records(table(spark, sf_dir, "pages")))
+    lines = F.transform("headers", lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
