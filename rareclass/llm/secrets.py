@@ -118,14 +118,16 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
     ``redacted`` is null where nothing was found.
     """
     keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    own = [f"k_{i}" for i in range(len(keep))]
+    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own)],
+                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     names = ["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans", "redacted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(config)
-        for piece in pieces(batches, "_text"):
+        for piece in pieces(batches, "text"):
             columns: list[list] = [[] for _ in names]
-            for text in piece.column("_text").to_pylist():
+            for text in piece.column("text").to_pylist():
                 base, spans = scanner.spans(text)
                 counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)] if spans else [0] * 4
                 row = [*counts, hashlib.sha256(_told(base).encode()).hexdigest(), _told(spans),
@@ -134,8 +136,9 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
                     column.append(value)
             types = [pa.int64()] * 4 + [pa.string()] * 3
             yield pa.RecordBatch.from_arrays(
-                [piece.column(c) for c in keep] + [pa.array(c, t) for c, t in zip(columns, types)], names=keep + names)
+                [piece.column(c) for c in own] + [pa.array(c, t) for c, t in zip(columns, types)], names=own + names)
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema.fields)
-    return source.mapInArrow(run, f"{out}, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, "
-                                  "base_sha256 string, spans string, redacted string")
+    out = source.drop("text").schema
+    for name in names:
+        out = out.add(name, "long" if name.startswith("n_") else "string")
+    return source.mapInArrow(run, out).select(*[F.col(n).alias(c) for c, n in zip(keep, own)], *names)

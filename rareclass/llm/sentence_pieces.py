@@ -18,8 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareclass.llm.words import pieces
-
 SPACE_MARK = "▁"  # fixed value: how a vocabulary writes a space
 _UNIT = re.compile(" *[^ ]+| +")
 
@@ -116,36 +114,34 @@ def encode(docs: DataFrame, config: PieceConfig, keep: list[str] | None = None)
 
     A null or empty text has no ids. Rows do not depend on each other.
     """
-    keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(config)
-        for piece in pieces(batches, "_text"):
-            ids = [vocabulary.encode(x).tobytes() for x in piece.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column(c) for c in keep] + [pa.array(ids, pa.binary())],
-                                             names=[*keep, "ids"])
-
-    return source.mapInArrow(run, _ddl(source.drop("_text")) + ", ids binary")
+    return _mapped(docs, "text", "string", keep, "ids", "binary", pa.binary(), config,
+                   lambda vocabulary, text: vocabulary.encode(text or "").tobytes())
 
 
 def decode(encoded: DataFrame, config: PieceConfig, keep: list[str] | None = None) -> DataFrame:
     """The columns in ``keep`` and ``text`` of rows with ``ids``; null ids are an empty text."""
+    return _mapped(encoded, "ids", "binary", keep, "text", "string", pa.string(), config,
+                   lambda vocabulary, ids: vocabulary.decode(np.frombuffer(ids or b"", dtype="<u4")))
+
+
+def _mapped(df, column, kind, keep, out, out_kind, arrow_kind, config, one) -> DataFrame:
+    """``one(vocabulary, value)`` of a column as a new column, beside the columns in ``keep``."""
     keep = ["doc_id"] if keep is None else keep
-    source = encoded.select(*[F.col(f"`{c}`") for c in keep], F.col("ids").alias("_ids"))
+    own = [f"k_{i}" for i in range(len(keep))]
+    source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own)], F.col(column).cast(kind).alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(config)
         for batch in batches:
-            texts = [vocabulary.decode(np.frombuffer(x or b"", dtype="<u4")) for x in batch.column("_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(texts, pa.string())],
-                                             names=[*keep, "text"])
-
-    return source.mapInArrow(run, _ddl(source.drop("_ids")) + ", text string")
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                values = [one(vocabulary, x) for x in part.column("value").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in own] + [pa.array(values, arrow_kind)], names=[*own, "made"])
+
+    schema = source.drop("value").schema.add("made", out_kind)
+    return source.mapInArrow(run, schema).select(
+        *[F.col(n).alias(c) for c, n in zip(keep, own)], F.col("made").alias(out))
 
 
 def checksums(encoded: DataFrame) -> DataFrame:

@@ -137,22 +137,23 @@ def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityM
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """The columns in ``keep`` and ``score`` (0 to 1) for every row; null texts are empty."""
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text"))
+    names = [f"k_{i}" for i in range(len(keep))]
+    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col("text").cast("string").alias("text"))
     weights, bias, config = model.weights.astype(np.float64), model.bias, model.config
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text"):
-            w = words(piece.column("_text"), lower=True)
+        for piece in pieces(batches, "text"):
+            w = words(piece.column("text"), lower=True)
             at, text, word = _distinct(w)
             of, feature = word_grams(w, at, config)
             each = np.bincount(of, weights=weights[feature], minlength=len(at))
             total = bias + np.bincount(text, weights=each[word], minlength=piece.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))],
-                names=[*keep, "score"])
+                [piece.column(c) for c in names] + [pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))],
+                names=[*names, "score"])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema.fields)
-    return source.mapInArrow(run, f"{out}, score double")
+    out = source.drop("text").schema.add("score", "double")
+    return source.mapInArrow(run, out).select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "score")
 
 
 def held_out(doc_id) -> F.col:
