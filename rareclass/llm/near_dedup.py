@@ -194,8 +194,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, config: NearDedupConfig) -> Dat
 
 
 def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The texts of the documents in ``ids(doc_id)``, one per id, written once."""
-    return materialize(docs.join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    """The texts of the documents in ``ids(doc_id)``, one per id, written once.
+
+    The ids grow with the table, so they are merged and not broadcast at any size.
+    """
+    return materialize(docs.join(ids.distinct().hint("merge"), "doc_id", "left_semi")
+                       .dropDuplicates(["doc_id"]), "texts")
 
 
 def _dealt(members: DataFrame, block: int) -> DataFrame:
@@ -305,8 +309,10 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     pairs = (bands.join(ends, "bucket").select("node", F.explode(F.array("a", "b")).alias("leader"))
              .where("node != leader").select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v"))
              .distinct())
+    pairs = materialize(pairs, "pairs")
     likely = materialize(alike(pairs, nodes, config), "likely")
-    texts = _texts_of(likely.select(F.explode(F.array("u", "v")).alias("doc_id")), docs)
+    # Every node of a bucket with several nodes is in a pair; their texts serve both searches.
+    texts = _texts_of(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")), docs)
     links = materialize(confirmed(likely, texts, config), "confirmed")
     found = connected_components(links)
 
@@ -318,7 +324,6 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
              .where("a < b").select("bucket"))
     rest = materialize(_dealt(bands.join(mixed, "bucket"), config.block), "rest")
     open_rows = materialize(_undecided(rest.join(labelled.select("node", "minima"), "node"), config), "undecided")
-    texts = _texts_of(open_rows.select(F.col("node").alias("doc_id")), docs)
     more = materialize(_links_between(open_rows.join(
         texts.withColumnRenamed("doc_id", "node"), "node"), config), "links")
 
