@@ -41,7 +41,7 @@ class NearDedupConfig:
     bands: int = 32
     rows: int = 5
     slack: float = 5.0
-    block: int = 512
+    block: int = 1024
     seed: int = 7
 
     @property
