@@ -24,13 +24,17 @@ from rareclass.session import materialize
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """``max_rows`` bounds the labelled rows of a fit; larger label tables are sampled by hash."""
+    """``max_rows`` bounds the labelled rows of a fit; larger label tables are sampled by hash.
+
+    The penalty is on absolute weights: most n-grams get none, so that a long text gathers no
+    score from thousands of small ones.
+    """
 
     shortest: int = 3
     longest: int = 5
     bits: int = 17
     smoothing: float = 1.0
-    regularisation: float = 1e-3
+    regularisation: float = 2e-4
     iterations: int = 40
     max_rows: int = 10_000
     seed: int = 11
@@ -130,7 +134,8 @@ def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityM
     def scaled(places, counts):
         return Vectors.sparse(dimension, places, ratio[places] * np.array(counts))
 
-    fitted = LogisticRegression(maxIter=config.iterations, regParam=config.regularisation, standardization=False).fit(
+    fitted = LogisticRegression(maxIter=config.iterations, regParam=config.regularisation, elasticNetParam=1.0,
+                                standardization=False).fit(
         seen.select(F.col("toxic").cast("double").alias("label"), scaled("places", "counts").alias("features")))
     return ToxicityModel(config, fitted.coefficients.toArray() * ratio, float(fitted.intercept))
 
