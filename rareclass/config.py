@@ -26,6 +26,7 @@ MIN_CLASS_ROWS = 30
 class TrainingConfig:
     """Settings of one experiment; ``validation_size`` is a share of all clean rows."""
 
+    # The settings of the reference experiment.
     seed: int = SEED
     test_size: float = 0.20
     validation_size: float = 0.20

@@ -87,16 +87,21 @@ def dummy_points(points: DataFrame) -> DataFrame:
         F.col("p").alias("pos"), F.col("n").alias("neg"), F.col("p").alias("tp"), F.col("n").alias("fp"), "p", "n")
 
 
+# Names in the comparison table.
+REFERENCE_NAME = "Dummy reference"
+SELECTED_STAGE = "selected threshold"
+
+
 def comparison_table(points: DataFrame, fits: DataFrame, chosen: str, threshold: float) -> DataFrame:
     """All experiments on validation and test, the constant model, and the chosen model at its
     threshold. ``fits`` has one row per experiment: names, fit seconds, train metrics."""
     scored = metric_rows_of_curve(points).join(fits, "experiment")
     dummy = (metric_rows_of_curve(dummy_points(points))
-             .withColumns({"algorithm": F.lit("Dummy reference"), "imbalance": F.lit("None"),
+             .withColumns({"algorithm": F.lit(REFERENCE_NAME), "imbalance": F.lit("None"),
                            "stage": F.lit("reference"), "fit_seconds": F.lit(0.0)}))
     best = (metric_rows_of_curve(points.where(F.col("experiment") == chosen), threshold)
             .join(fits, "experiment")
-            .withColumn("experiment", F.concat("experiment", F.lit(" | selected threshold")))
-            .withColumn("stage", F.lit("selected threshold")))
+            .withColumn("experiment", F.concat("experiment", F.lit(f" | {SELECTED_STAGE}")))
+            .withColumn("stage", F.lit(SELECTED_STAGE)))
     every = scored.unionByName(dummy, allowMissingColumns=True).unionByName(best)
     return every.select(*COMPARISON_COLUMNS)

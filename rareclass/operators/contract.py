@@ -16,16 +16,16 @@ from rareclass.functions.scalars import INF, is_bad_number, is_infinite, no_nan,
 def require_columns(names: list[str], required: list[str], error: type[Exception]) -> None:
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated:
-        raise error(f"Duplicate column names are not allowed: {', '.join(repeated)}.")
+        raise error(f"These columns occur more than once: {', '.join(repeated)}.")
     missing = sorted(set(required) - set(names))
     if missing:
-        raise error(f"Missing columns: {', '.join(missing)}.")
+        raise error(f"The table lacks {len(missing)} required columns: {', '.join(missing)}.")
 
 
 def check_threshold(threshold) -> float:
     good = isinstance(threshold, (int, float)) and not isinstance(threshold, bool)
     if not good or not math.isfinite(threshold) or not 0 <= threshold <= 1:
-        raise PredictionError("Decision threshold must be a finite number between 0 and 1.")
+        raise PredictionError(f"A threshold lies in [0, 1]; got {threshold!r}.")
     return float(threshold)
 
 
@@ -100,15 +100,15 @@ def training_violations(df: DataFrame, features: list[str] = FEATURES, label: st
     return counts.select(F.explode(found).alias("c")).select("c.*").where("rows > 0")
 
 
-# Order in which broken rules are reported, with their texts.
+# The first of these rules that is broken is reported.
 TRAINING_MESSAGES = {
-    "not_numeric": "Column {0} must contain numeric values.",
-    "label_missing": "{0} has missing labels.",
-    "label_value": "{0} must contain only 0 and 1.",
-    "infinite": "Infinite feature values are invalid: {0}.",
-    "negative": "Values must be nonnegative: {0}.",
-    "entirely_missing": "Features without any value: {0}.",
-    "few_rows": "At least 30 rows of each class are needed: {0}.",
+    "not_numeric": "Text that is no number in {0}.",
+    "label_missing": "Rows without a label in {0}.",
+    "label_value": "Labels other than 0 and 1 in {0}.",
+    "infinite": "Infinity among the values of {0}.",
+    "negative": "Values below zero in {0}.",
+    "entirely_missing": "Not a single value in {0}.",
+    "few_rows": f"A class has fewer than {MIN_CLASS_ROWS} rows: {{0}}.",
 }
 
 
@@ -182,10 +182,10 @@ def validate_scoring(df: DataFrame) -> None:
     """Raise if any row of the batch cannot be scored; an empty batch is an error too."""
     require_columns(df.columns, FEATURES, PredictionError)
     if df.isEmpty():
-        raise PredictionError("Provide at least one transaction.")
+        raise PredictionError("The batch to score is empty.")
     rows = scoring_violations(df).collect()
-    for key, text in [("not_numeric", "Not numeric: {0}."), ("not_finite", "Missing or infinite values in: {0}."),
-                      ("negative", "Time and Amount must be nonnegative: {0}.")]:
+    for key, text in [("not_numeric", "Text that is no number in {0}."), ("not_finite", "Rows without a finite value in {0}."),
+                      ("negative", "Values below zero in {0}.")]:
         cols = [r["column_name"] for r in rows if r[key] > 0]
         if cols:
             raise PredictionError(text.format(", ".join(cols)))

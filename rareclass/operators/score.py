@@ -12,6 +12,11 @@ from rareclass.functions.scalars import is_infinite
 from rareclass.operators.contract import check_threshold, number, quarantine, require_columns, validate_scoring
 
 SCORE = "fraud_probability"
+# Columns that scoring appends.
+RESULT_COLUMNS = [SCORE, "predicted_class", "prediction", "decision_threshold"]
+
+
+BAD_SCORE = "The model gave a score that is not finite."
 
 
 def with_decision(df: DataFrame, score: Column, threshold: float) -> DataFrame:
@@ -25,12 +30,20 @@ def with_decision(df: DataFrame, score: Column, threshold: float) -> DataFrame:
 
 def apply_model(df: DataFrame, model, threshold: float) -> DataFrame:
     """Score valid rows; every input column, features as given included, is kept."""
+    # A table that was scored before gets its result columns anew.
+    df = df.drop(*RESULT_COLUMNS)
     packed = df.select(F.struct("*").alias("_in"), *[number(df, c).alias(c) for c in FEATURES])
     scored = model.transform(packed)
-    out = scored.select("_in", vector_to_array("probability")[1].alias(SCORE))
+    out = scored.select("_in", finite_score(vector_to_array("probability")[1]).alias(SCORE))
     return with_decision(out.select("_in.*", SCORE), F.col(SCORE), threshold)
 
 
+def finite_score(score: Column) -> Column:
+    """The score itself; a row whose score is not finite fails when it is computed, without a pass of its own."""
+    bad = score.isNull() | F.isnan(score) | is_infinite(score)
+    return F.when(~bad, score).otherwise(F.raise_error(F.lit(BAD_SCORE)).cast("double"))
+
+
 def predict(df: DataFrame, bundle, threshold: float | None = None, strict: bool = True) -> DataFrame:
     """Strict: any bad row fails the batch with a readable error. Otherwise bad rows are left
     out; :func:`predict_or_reject` returns them."""
@@ -56,7 +69,7 @@ def invalid_scores(scored: DataFrame, column: str = SCORE) -> DataFrame:
 
 def require_finite_scores(scored: DataFrame, column: str = SCORE) -> None:
     if invalid_scores(scored, column).first()[0]:
-        raise PredictionError("The model produced invalid probabilities.")
+        raise PredictionError(BAD_SCORE)
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:

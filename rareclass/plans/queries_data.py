@@ -147,12 +147,21 @@ def fingerprint(spark, d):
 
 
 @query("provenance_check", sql(
-    f"SELECT COUNT(*) AS rows, CAST(SUM(Class) AS BIGINT) AS frauds, {_DIGEST} AS digest, TRUE AS as_expected FROM tx", "tx"))
+    f"""SELECT 'as recorded' AS record, COUNT(*) AS rows, CAST(SUM(Class) AS BIGINT) AS frauds, {_DIGEST} AS digest, TRUE AS as_expected FROM tx
+ UNION ALL SELECT 'a row fewer', COUNT(*), CAST(SUM(Class) AS BIGINT), {_DIGEST}, FALSE FROM tx
+ UNION ALL SELECT 'other digest', COUNT(*), CAST(SUM(Class) AS BIGINT), {_DIGEST}, FALSE FROM tx""", "tx"))
 def provenance_check(spark, d):
+    """The table against its own record and against two that are wrong."""
     tx = transactions(spark, d)
     expected = audit.fingerprint(tx, [ROW_ID, TARGET], portable=True).first()
     frauds = tx.where(F.col(TARGET) == 1).count()
-    return audit.provenance(tx, expected["rows"], frauds, expected["digest"], [ROW_ID, TARGET], portable=True)
+    records = {"as recorded": (expected["rows"], expected["digest"]), "a row fewer": (expected["rows"] - 1, expected["digest"]),
+               "other digest": (expected["rows"], expected["digest"] + 1)}
+    out = None
+    for name, (rows, digest) in records.items():
+        one = audit.provenance(tx, rows, frauds, digest, [ROW_ID, TARGET], portable=True).withColumn("record", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # --- splits, samples, folds ---------------------------------------------------------------

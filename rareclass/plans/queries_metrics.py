@@ -30,11 +30,20 @@ def points(spark, d):
 
 # --- threshold metrics --------------------------------------------------------------------
 
-@query("metric_inputs", sql("""SELECT experiment, "partition", COUNT(*) FILTER (label = 1) AS positives,
- COUNT(*) FILTER (label = 0) AS negatives, 0::BIGINT AS bad_labels, COUNT(*) FILTER (shifted > 1) AS bad_scores
- FROM (SELECT *, score * 1.2::DOUBLE AS shifted FROM scores WHERE "partition" <> 'train') GROUP BY ALL HAVING COUNT(*) FILTER (shifted > 1) > 0""", "scores"))
+# One fault kind per imbalance and stage: scores above 1, NaN scores, one class only, other labels.
+_FAULTY_SCORE = """CASE WHEN experiment LIKE '%| None | baseline' THEN score + 0.999::DOUBLE
+ WHEN experiment LIKE '%| None | tuned' AND row_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE score END"""
+_FAULTY_LABEL = """CASE WHEN experiment LIKE '%| SMOTE | baseline' THEN 1
+ WHEN experiment LIKE '%| SMOTE | tuned' AND row_id % 5 = 0 THEN 2 ELSE label END"""
+
+
+@query("metric_inputs", sql(f"""SELECT experiment, "partition", COUNT(*) FILTER (l = 1) AS positives,
+ COUNT(*) FILTER (l = 0) AS negatives, COUNT(*) FILTER (l NOT IN (0, 1)) AS bad_labels, COUNT(*) FILTER (isnan(s) OR s > 1) AS bad_scores
+ FROM (SELECT *, {_FAULTY_SCORE} AS s, {_FAULTY_LABEL} AS l FROM scores WHERE "partition" <> 'train') GROUP BY ALL
+ HAVING bool_or(isnan(s) OR s > 1 OR l NOT IN (0, 1)) OR bool_and(l = 1)""", "scores"))
 def metric_inputs(spark, d):
-    return metrics.metric_input_violations(scored(spark, d).withColumn("score", F.col("score") * 1.2))
+    spoilt = scored(spark, d).withColumn("score", F.expr(_FAULTY_SCORE.replace("::DOUBLE", "D").replace("'NaN'D", "double('NaN')")))
+    return metrics.metric_input_violations(spoilt.withColumn("label", F.expr(_FAULTY_LABEL)))
 
 
 @query("confusion", sql("SELECT * FROM conf", "conf"))
@@ -311,9 +320,12 @@ def score_hist(spark, d):
     return rounded(score.score_histogram(_score_rows(transactions(spark, d)), THRESHOLD))
 
 
-@query("score_quality", sql("SELECT 0::BIGINT AS invalid_scores FROM tot", "tot"))
+@query("score_quality", sql("SELECT COUNT(*) FILTER (row_id % 11 IN (0, 1, 2)) AS invalid_scores FROM tx", "tx"))
 def score_quality(spark, d):
-    return score.invalid_scores(_score_rows(transactions(spark, d)))
+    """Every eleventh row each with a NULL, NaN and infinite score."""
+    r = F.col(ROW_ID) % 11
+    spoilt = F.when(r == 1, F.lit(float("nan"))).when(r == 2, F.lit(float("inf"))).when(r > 2, F.col(score.SCORE))
+    return score.invalid_scores(_score_rows(transactions(spark, d)).withColumn(score.SCORE, spoilt))
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -350,7 +362,7 @@ def stream_dedup(spark, d):
     stream = _event_stream(spark, d)
     copies = F.when(F.col(ROW_ID) % fixture.COPY_PERIOD == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     doubled = stream.withColumn("_copy", F.explode(copies)).drop("_copy")
-    return _run(alerts.unique_rows(doubled, [ROW_ID, *FEATURES, TARGET]).select(ROW_ID, "Amount"), spark, "stream-dedup")
+    return _run(alerts.unique_rows(doubled, [ROW_ID, *FEATURES, TARGET], "1 hour").select(ROW_ID, "Amount"), spark, "stream-dedup")
 
 
 @query("stream_window_summary", sql(f"""SELECT date_trunc('day', ts) AS window_start, COUNT(*) AS transactions,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,17 +35,24 @@ def build_session(app: str = "rareclass", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+@functools.cache
+def _scratch() -> str:
+    root = tempfile.mkdtemp(prefix="rareclass-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
     It lies under ``spark.checkpoint.dir``. Only a local session without that setting
-    (tests) gets a temporary folder of this machine.
+    (tests) gets a temporary folder of this machine, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
-        root = tempfile.mkdtemp(prefix="rareclass-")
+        root = _scratch()
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 

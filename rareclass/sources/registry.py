@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import math
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -32,47 +32,67 @@ def stage_of(pipeline: PipelineModel, kind):
     raise ArtifactError(f"The saved pipeline has no {kind.__name__}.")
 
 
+def _described(pipeline: PipelineModel, scaler: MixedScalerModel, selected: list[str]) -> dict[str, str]:
+    """A digest of what each part of a bundle says about the model."""
+    inside = stage_of(pipeline, MixedScalerModel)
+
+    def scale(s: MixedScalerModel) -> list:
+        return [list(s.getOrDefault(p)) for p in ("center", "scale")]
+
+    told = {"inputs": pipeline.stages[0].columns(), "scaler of the model": scale(inside), "scaler": scale(scaler),
+            "features of the model": stage_of(pipeline, MutualInformationSelectorModel).selected_features(),
+            "features": selected}
+    return {k: hashlib.sha256(json.dumps(v).encode()).hexdigest() for k, v in told.items()}
+
+
 def save_bundle(spark: SparkSession, pipeline: PipelineModel, metadata: dict, path: str) -> None:
     """Whole pipeline, preprocessing prefix, scaler, selected features and metadata."""
-    selector = stage_of(pipeline, MutualInformationSelectorModel)
+    selected = stage_of(pipeline, MutualInformationSelectorModel).selected_features()
+    scaler = stage_of(pipeline, MixedScalerModel)
     pipeline.write().overwrite().save(f"{path}/pipeline")
     PipelineModel(pipeline.stages[:-1]).write().overwrite().save(f"{path}/prefix")
-    stage_of(pipeline, MixedScalerModel).write().overwrite().save(f"{path}/scaler")
-    write_json(spark, json.dumps(selector.selected_features()), f"{path}/selected_features")
-    full = {**metadata, "raw_features": FEATURES, "selected_features": selector.selected_features(),
-            "versions": {"spark": spark.version}}
+    scaler.write().overwrite().save(f"{path}/scaler")
+    write_json(spark, json.dumps(selected), f"{path}/selected_features")
+    full = {**metadata, "raw_features": FEATURES, "selected_features": selected,
+            "versions": {"spark": spark.version}, "parts": _described(pipeline, scaler, selected)}
     write_json(spark, json.dumps(full, default=str), f"{path}/metadata")
 
 
+def _usable_threshold(value) -> bool:
+    return type(value) in (int, float) and 0 <= value <= 1  # NaN and infinities fail the comparison
+
+
+def _faults(spark: SparkSession, metadata: dict, found: dict[str, str]) -> list[str]:
+    """Every check that the parts of a bundle fail."""
+    saved = metadata.get("parts", {})
+    checks = {
+        f"it was written by Spark {metadata.get('versions', {}).get('spark')}, this is {spark.version}":
+            metadata.get("versions", {}).get("spark") == spark.version,
+        "its decision threshold is not a number from 0 to 1": _usable_threshold(metadata.get("threshold")),
+        "its input columns are not the contract's": metadata.get("raw_features") == FEATURES,
+        "its feature lists do not agree": found["features"] == found["features of the model"]
+            == hashlib.sha256(json.dumps(metadata.get("selected_features")).encode()).hexdigest(),
+        "its scaler is not the model's": found["scaler"] == found["scaler of the model"],
+        **{f"its {name} changed after it was saved": found[name] == digest for name, digest in saved.items()},
+    }
+    return [text for text, passed in checks.items() if not passed]
+
+
 def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
-    """Load and check that all parts belong together."""
+    """Read all parts, then report every way in which they do not fit together."""
     try:
-        metadata = json.loads(read_json(spark, f"{path}/metadata"))
-        if metadata["versions"]["spark"] != spark.version:
-            raise ArtifactError("Spark differs from the training version. Retrain, or use that version.")
-        selected = json.loads(read_json(spark, f"{path}/selected_features"))
-        pipeline = PipelineModel.load(f"{path}/pipeline")
-        prefix = PipelineModel.load(f"{path}/prefix")
+        metadata, selected = (json.loads(read_json(spark, f"{path}/{n}")) for n in ("metadata", "selected_features"))
+        pipeline, prefix = (PipelineModel.load(f"{path}/{n}") for n in ("pipeline", "prefix"))
         scaler = MixedScalerModel.load(f"{path}/scaler")
-        inside = stage_of(pipeline, MutualInformationSelectorModel).selected_features()
-        if selected != metadata["selected_features"] or selected != inside:
-            raise ArtifactError("Feature artifacts disagree. Save all artifacts together.")
-        if metadata["raw_features"] != FEATURES or pipeline.stages[0].columns() != FEATURES:
-            raise ArtifactError("Model input schema does not match the feature contract.")
-        embedded = stage_of(pipeline, MixedScalerModel)
-        for p in ("center", "scale"):
-            if scaler.getOrDefault(p) != embedded.getOrDefault(p):
-                raise ArtifactError("Saved scaler differs from the model's scaler. Save all artifacts together.")
-        t = metadata["threshold"]
-        if isinstance(t, bool) or not isinstance(t, (int, float)) or not math.isfinite(t) or not 0 <= t <= 1:
-            raise ArtifactError("Saved threshold is invalid.")
-        return ModelBundle(pipeline, prefix, scaler, selected, metadata)
+        faults = _faults(spark, metadata, _described(pipeline, scaler, selected))
     except ArtifactError:
         raise
-    except AnalysisException as exc:
-        raise ArtifactError(f"Model artifacts missing under {path}.") from exc
-    except Exception as exc:  # unreadable stage data, bad JSON, missing keys
-        raise ArtifactError(f"Cannot load model artifacts: {exc}") from exc
+    except Exception as exc:  # a part is absent, or is not what its name says
+        kind = "incomplete" if isinstance(exc, AnalysisException) else "unreadable"
+        raise ArtifactError(f"The bundle under {path} is {kind}: {str(exc).splitlines()[0][:200]}") from exc
+    if faults:
+        raise ArtifactError(f"The bundle under {path} cannot be used: {'; '.join(faults)}.")
+    return ModelBundle(pipeline, prefix, scaler, selected, metadata)
 
 
 MANIFEST_SCHEMA = "stage string, config string, digest string, payload string, step bigint"

@@ -19,6 +19,13 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_scored(scored: DataFrame, path: str) -> None:
+    """A scored batch as CSV: the result columns first, then the columns it came with."""
+    from rareclass.operators.score import RESULT_COLUMNS
+
+    write_csv(scored.select(*RESULT_COLUMNS, *[c for c in scored.columns if c not in RESULT_COLUMNS]), path)
+
+
 def write_records(df: DataFrame, path: str) -> None:
     """Records as JSON lines."""
     df.write.mode("overwrite").json(path)

@@ -15,12 +15,17 @@ def read_text_csv(spark: SparkSession, path: str, error: type[Exception] = Datas
     """CSV with a header, every column as text, so that all bad values can be reported."""
     try:
         head = spark.read.option("header", False).csv(path).limit(1).collect()
-        names = [v for v in (head[0] if head else []) if v is not None]
+        found = list(head[0]) if head else []
+        names = [v for v in found if v is not None]
         if not names:
             raise error(f"Cannot read CSV: {path} is empty.")
         require_columns(names, [], error)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+        # A column without a name, such as a written row index, keeps its place and is dropped.
+        places = [v if v is not None else f"_unnamed_{i}" for i, v in enumerate(found)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in places])
+        whole = len(names) == len(places)
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", not whole).csv(path)
+        return rows.select(*[f"`{n}`" for n in names])
     except AnalysisException as exc:
         raise error(f"Cannot read {path}: {exc.getCondition() or 'not readable'}.") from exc
 

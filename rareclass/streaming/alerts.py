@@ -25,8 +25,13 @@ def stream_parquet(spark: SparkSession, path: str, schema=None, files_per_trigge
     return reader.parquet(path)
 
 
-def unique_rows(stream: DataFrame, columns: list[str], time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """First copy of each row; the state holds one digest per row within the watermark."""
+def unique_rows(stream: DataFrame, columns: list[str], delay: str, time: str = "ts") -> DataFrame:
+    """First copy of each row; the state holds one digest per row within the watermark.
+
+    Rows later than ``delay`` behind the newest time that an earlier micro-batch has shown are
+    dropped by the watermark. It must cover how far out of order the source can be: for a
+    backlog whose files are in no order of time, the whole span of the backlog.
+    """
     keyed = stream.withColumn("_key", content_key(*columns)).withWatermark(time, delay)
     return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 

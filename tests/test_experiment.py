@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from rareclass.errors import ArtifactError, DatasetError, PredictionError
 from rareclass.operators import compare, features, models, score
 from rareclass.plans import experiment
 from rareclass.sources.registry import Manifest, load_bundle, save_bundle
-from rareclass.sources.sinks import read_json, read_members, write_json
+from rareclass.sources.sinks import read_json, read_members, write_json, write_scored
 
 CONFIG = TrainingConfig(selected_k=6, selection_method="binned", forest_trees=3, report_trees=3, tuning_iterations=1,
                         cv_folds=2, tuning_max_rows=None, smote_ratio=0.5)
@@ -77,12 +78,35 @@ def test_bundle_scores_raw_rows_alone_and_in_a_batch(spark, run):
     assert {r["prediction"] for r in everything} == {"Potential fraud"}
     with pytest.raises(PredictionError, match="threshold"):
         score.predict(raw, bundle, threshold=1.5)
-    with pytest.raises(PredictionError, match="Missing or infinite"):
+    with pytest.raises(PredictionError, match="finite value in V2"):
         score.predict(raw.withColumn("V2", F.lit(None).cast("string")), bundle)
+    twice = score.predict(score.predict(raw, bundle), bundle)
+    assert twice.columns == score.predict(raw, bundle).columns and twice.count() == 6
+    write_scored(twice, f"{folder}/scored_batch")
+    back = spark.read.option("header", True).csv(f"{folder}/scored_batch")
+    assert back.columns[:4] == score.RESULT_COLUMNS and back.count() == 6
     good, bad = score.predict_or_reject(raw.withColumn("V2", F.when(F.col("Class") == 1, F.col("V2"))), bundle)
     assert (good.count(), bad.count()) == (3, 3)
 
 
+def tables(spark, folder):
+    names = ["model_comparison", "before_after_tuning", "tuning_candidates", "threshold_analysis", "examples"]
+    read = lambda n: (spark.read.parquet if n == "threshold_analysis" else spark.read.option("header", True).csv)(f"{folder}/{n}")
+    return {n: sorted(map(str, read(n).drop("fit_seconds", "search_seconds", "refit_seconds").collect())) for n in names}
+
+
+def test_a_continued_run_and_other_settings_give_the_same_tables(spark, run):
+    folder, raw, meta = run
+    first = tables(spark, folder)
+    assert len(meta["final_test_metrics"]) == len(meta["default_threshold_test_metrics"]) == 14
+    assert meta["audit"]["duplicates_removed"] == 2
+    again = experiment.run_training(spark, raw, folder, CONFIG, resume_baselines=True)
+    assert tables(spark, folder) == first and again["final_test_metrics"] == meta["final_test_metrics"]
+    # The same work with four jobs at once, in the folder of a run with other settings.
+    other = experiment.run_training(spark, raw, folder, replace(CONFIG, n_jobs=4))
+    assert tables(spark, folder) == first and other["final_test_metrics"] == meta["final_test_metrics"]
+
+
 def test_resume_needs_the_same_data_and_settings(spark, run):
     folder, raw, _ = run
     p = experiment.prepare(spark, raw, folder, CONFIG)
@@ -108,13 +132,15 @@ def test_bundle_guards(spark, tmp_path):
     clf = models.fit_classifier(models.training_rows(prefix.transform(df), False, CONFIG), "Decision Tree",
                                 models.default_params("Decision Tree", CONFIG), 42)
     path = str(tmp_path / "bundle")
-    with pytest.raises(ArtifactError, match="missing"):
+    with pytest.raises(ArtifactError, match="incomplete"):
         load_bundle(spark, path)
     save_bundle(spark, models.assemble(prefix, clf), {"threshold": 0.4}, path)
     assert load_bundle(spark, path).metadata["threshold"] == 0.4
     meta = json.loads(read_json(spark, f"{path}/metadata"))
-    for change, message in [({"threshold": 1.4}, "threshold"), ({"versions": {"spark": "0"}}, "differs"),
-                            ({"selected_features": ["V1"]}, "disagree"), ({"raw_features": FEATURES[:-1]}, "schema")]:
+    for change, message in [({"threshold": 1.4}, "threshold"), ({"threshold": True}, "threshold"),
+                            ({"versions": {"spark": "0"}}, "Spark 0"), ({"selected_features": ["V1"]}, "do not agree"),
+                            ({"raw_features": FEATURES[:-1]}, "contract"),
+                            ({"threshold": None, "raw_features": []}, "threshold.*contract")]:
         write_json(spark, json.dumps({**meta, **change}), f"{path}/metadata")
         with pytest.raises(ArtifactError, match=message):
             load_bundle(spark, path)

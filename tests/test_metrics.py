@@ -30,8 +30,8 @@ def test_constant_scores(spark):
 
 
 @pytest.mark.parametrize("labels, values, message", [
-    ([0, 0], [.1, .2], "both classes"), ([0, 1], [.1, 1.2], "between zero and one"),
-    ([0, 1], [.1, float("nan")], "between zero and one"), ([0, 1], [-0.1, .2], "between zero and one")])
+    ([0, 0], [.1, .2], "0 positive"), ([0, 1], [.1, 1.2], "1 scores outside"),
+    ([0, 1], [.1, float("nan")], "1 scores outside"), ([0, 1], [-0.1, .2], "1 scores outside")])
 def test_bad_inputs(spark, labels, values, message):
     with pytest.raises(DatasetError, match=message):
         metrics.require_metric_input(scores(spark, labels, values))
