@@ -26,14 +26,16 @@ from rareclass.session import materialize
 class ToxicityConfig:
     """``max_rows`` bounds the labelled rows of a fit; larger label tables are sampled by hash.
 
-    The penalty is on absolute weights: most n-grams get none, so that a long text gathers no
-    score from thousands of small ones.
+    The regression takes the ``fitted_features`` n-grams whose log-count ratio stands out most
+    for how often they occur. Its penalty is on absolute weights: most n-grams get none, so that
+    a long text gathers no score from thousands of small ones.
     """
 
     shortest: int = 3
     longest: int = 5
     bits: int = 17
     smoothing: float = 1.0
+    fitted_features: int = 8192
     regularisation: float = 2e-4
     iterations: int = 40
     max_rows: int = 10_000
@@ -128,16 +130,24 @@ def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityM
     count[0, sums["place"]] += sums["p"].fillna(0)
     count[1, sums["place"]] += sums["q"].fillna(0)
     ratio = np.log(count[0] / count[0].sum()) - np.log(count[1] / count[1].sum())
-    dimension = config.dimension
+    chosen = np.argsort(-np.abs(ratio) * np.sqrt(count.sum(axis=0)), kind="stable")[:config.fitted_features]
+    chosen.sort()
+    slot = np.full(config.dimension, -1, dtype=np.int32)
+    slot[chosen] = np.arange(len(chosen))
+    kept, size = ratio[chosen], len(chosen)
 
     @F.udf(VectorUDT())
     def scaled(places, counts):
-        return Vectors.sparse(dimension, places, ratio[places] * np.array(counts))
+        at = slot[places]
+        inside = at >= 0
+        return Vectors.sparse(size, at[inside], kept[at[inside]] * np.array(counts)[inside])
 
     fitted = LogisticRegression(maxIter=config.iterations, regParam=config.regularisation, elasticNetParam=1.0,
                                 standardization=False).fit(
         seen.select(F.col("toxic").cast("double").alias("label"), scaled("places", "counts").alias("features")))
-    return ToxicityModel(config, fitted.coefficients.toArray() * ratio, float(fitted.intercept))
+    weights = np.zeros(config.dimension)
+    weights[chosen] = fitted.coefficients.toArray() * kept
+    return ToxicityModel(config, weights, float(fitted.intercept))
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
