@@ -11,9 +11,11 @@ padding.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import itertools
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,7 @@ class PackingConfig:
     end_id: int = 2
     linear: float = 1.0
     quadratic: float = 1.0 / 8192
-    group_tokens: int = 1 << 22
+    group_tokens: int = 1 << 21
     cached_words: int = 1 << 20
 
     def cost(self, n: int) -> float:
@@ -51,6 +53,10 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:;=?@]*)")
 
 
+# Words that wait to be merged, and parts of words that are remembered.
+_RECENT, _PARTS = 1 << 16, 1 << 17
+
+
 class _Grown:
     """An array that grows at its end."""
 
@@ -86,7 +92,9 @@ class WordTokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}  # hash of a word to its place in first and count
+        # Learned words: hashes in order and their places, then those learned since the last merge.
+        self.keys, self.places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.recent: dict[int, int] = {}
         self.parts: dict[str, tuple[int, ...]] = {"": ()}
         self.first, self.count, self.ids = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
 
@@ -94,6 +102,8 @@ class WordTokens:
         """Ids of each word."""
         plain = [_PLAIN.fullmatch(x) for x in texts]
         split = [(m[1].lower(), m[2]) if m else None for m in plain]
+        if len(self.parts) > _PARTS:
+            self.parts = {"": ()}
         new = list({p for s in split if s for p in s if p not in self.parts})
         self.parts.update(zip(new, (tuple(e.ids) for e in self.model.encode_batch(new, add_special_tokens=False))))
         odd = [x for x, s in zip(texts, split) if s is None]
@@ -103,11 +113,31 @@ class WordTokens:
     def _learn(self, hashes: list[int], texts: list[str]) -> None:
         new = self._word_ids(texts)
         count = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        self.known.update(zip(hashes, range(self.first.size, self.first.size + len(new))))
+        self.recent.update(zip(hashes, range(self.first.size, self.first.size + len(new))))
         self.first.add(self.ids.size + np.cumsum(count) - count)
         self.count.add(count)
         self.ids.add(np.fromiter(itertools.chain.from_iterable(new), dtype=np.uint32, count=int(count.sum())))
 
+    def _place(self, w, distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The place of each distinct word; words not met before are learned."""
+        place = np.full(len(distinct), -1, dtype=np.int64)
+        if len(self.keys):
+            near = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+            place = np.where(self.keys[near] == distinct, self.places[near], -1)
+        rest = np.flatnonzero(place < 0)
+        keys = distinct[rest].tolist()
+        new = [(key, i) for key, i in zip(keys, rest.tolist()) if key not in self.recent]
+        if new:
+            data = w.data.tobytes()
+            self._learn([key for key, _ in new], [data[w.start[at[i]]:w.end[at[i]]].decode() for _, i in new])
+        place[rest] = [self.recent[key] for key in keys]
+        if len(self.recent) > _RECENT:
+            keys = np.concatenate([self.keys, np.fromiter(self.recent, dtype=np.uint64)])
+            places = np.concatenate([self.places, np.fromiter(self.recent.values(), dtype=np.int64)])
+            order = np.argsort(keys)
+            self.keys, self.places, self.recent = keys[order], places[order], {}
+        return place
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins (one more than there are texts)."""
         if not self.by_word:
@@ -115,21 +145,23 @@ class WordTokens:
                 column.fill_null("").to_pylist(), add_special_tokens=False)]
             return (np.array([i for x in found for i in x], dtype=np.uint32),
                     np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64))
+        if self.first.size > self.limit:
+            self._clear()
         w = words(column)
         distinct, at, code = np.unique(w.hash, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self._clear()
-            new = range(len(keys))
-        data = w.data.tobytes()
-        self._learn([keys[i] for i in new], [data[w.start[at[i]]:w.end[at[i]]].decode() for i in new])
-        place = np.fromiter(map(self.known.__getitem__, keys), dtype=np.int64, count=len(keys))[code]
+        place = self._place(w, distinct, at)[code]
         first, count = self.first.data[place], self.count.data[place]
         ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         return self.ids.data[np.repeat(first - ends[:-1], count) + np.arange(ends[-1])], ends[w.first]
 
 
+@functools.lru_cache(maxsize=1)
+def word_tokens(path: str, limit: int) -> WordTokens:
+    """One encoder per worker process, whose words the next tasks find learned."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
+    return WordTokens(path, limit)
+
+
 class Room:
     """The cheapest of the sequences that have at least some capacity left."""
 
@@ -211,7 +243,7 @@ def pack(docs: DataFrame, config: PackingConfig) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokens(config.tokenizer, config.cached_words)
+        encoder = word_tokens(config.tokenizer, config.cached_words)
         base = TaskContext.get().partitionId() << 40
         doc_ids, tokens, held = [], [], 0
         for piece in pieces(batches, "text"):

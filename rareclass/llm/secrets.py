@@ -8,6 +8,7 @@ they are known digests or identifiers.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -94,6 +95,12 @@ class Scanner:
         return base, sorted(base + self.random_spans(text, base))
 
 
+@functools.lru_cache(maxsize=1)
+def scanner_of(config: SecretConfig) -> Scanner:
+    """One encoding per worker process."""
+    return Scanner(config)
+
+
 def _told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
@@ -124,7 +131,7 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
     names = ["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans", "redacted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(config)
+        scanner = scanner_of(config)
         for piece in pieces(batches, "text"):
             columns: list[list] = [[] for _ in names]
             for text in piece.column("text").to_pylist():

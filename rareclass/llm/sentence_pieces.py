@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,7 +29,7 @@ class PieceConfig:
 
     model: str
     unknown_penalty: float = 10.0
-    cached_units: int = 1 << 19
+    cached_units: int = 1 << 18
 
 
 class Vocabulary:
@@ -109,6 +110,12 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
+@lru_cache(maxsize=1)
+def vocabulary_of(config: PieceConfig) -> Vocabulary:
+    """One automaton per worker process, whose units the next tasks find solved."""
+    return Vocabulary(config)
+
+
 def encode(docs: DataFrame, config: PieceConfig, keep: list[str] | None = None) -> DataFrame:
     """The columns in ``keep`` and ``ids``, little-endian unsigned 32-bit, for every row.
 
@@ -131,7 +138,7 @@ def _mapped(df, column, kind, keep, out, out_kind, arrow_kind, config, one) -> D
     source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own)], F.col(column).cast(kind).alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(config)
+        vocabulary = vocabulary_of(config)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
