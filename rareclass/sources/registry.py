@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rareclass.config import FEATURES, TrainingConfig
 from rareclass.errors import ArtifactError
@@ -115,10 +116,14 @@ class Manifest:
 
     def finished(self, stage: str, config: TrainingConfig, digest: str) -> dict | None:
         """Payload of the stage if it was finished with this configuration and data."""
+        mine = (F.col("config") == config.to_json()) & (F.col("digest") == digest)
+        row = self.rows().where(F.col("stage") == stage).where(mine).orderBy("step", ascending=False).first()
+        return None if row is None else json.loads(row["payload"])
+
+    def current(self, stage: str, config: TrainingConfig, digest: str) -> bool:
+        """Whether the stage's tables in the folder are those of this configuration and data."""
         row = self.latest(stage)
-        if row is None or row["config"] != config.to_json() or row["digest"] != digest:
-            return None
-        return json.loads(row["payload"])
+        return row is not None and (row["config"], row["digest"]) == (config.to_json(), digest)
 
     def require(self, stage: str, config: TrainingConfig, digest: str) -> dict | None:
         """As :meth:`finished`, but a record of other data or settings is an error."""

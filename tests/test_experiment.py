@@ -102,9 +102,14 @@ def test_a_continued_run_and_other_settings_give_the_same_tables(spark, run):
     assert meta["audit"]["duplicates_removed"] == 2
     again = experiment.run_training(spark, raw, folder, CONFIG, resume_baselines=True)
     assert tables(spark, folder) == first and again["final_test_metrics"] == meta["final_test_metrics"]
-    # The same work with four jobs at once, in the folder of a run with other settings.
-    other = experiment.run_training(spark, raw, folder, replace(CONFIG, n_jobs=4))
-    assert tables(spark, folder) == first and other["final_test_metrics"] == meta["final_test_metrics"]
+    # The same fits, four at once, in the folder of a run with other settings.
+    wide = replace(CONFIG, n_jobs=4)
+    p = experiment.prepare(spark, raw, folder, wide)
+    frames = experiment.shared_frames(p.part("train").drop("partition"), {"validation": p.part("validation").drop("partition")}, wide)
+    told = lambda rows: sorted(str({k: v for k, v in r.items() if k != "fit_seconds"}) for r in rows)
+    done = Manifest(spark, folder).finished("baselines", CONFIG, p.digest)
+    assert told(experiment.run_baselines(p, frames)) == told(done["rows"])
+    assert p.scores([r["experiment"] for r in done["rows"]], ["fit"]).count() == 6 * 480
 
 
 def test_resume_needs_the_same_data_and_settings(spark, run):
@@ -115,7 +120,7 @@ def test_resume_needs_the_same_data_and_settings(spark, run):
     assert len(done["rows"]) == 6
     with pytest.raises(ArtifactError, match="does not match"):
         manifest.require("baselines", TrainingConfig(), p.digest)
-    assert manifest.finished("prepare", CONFIG, "other") is None and manifest.require("unknown", CONFIG, "x") is None
+    assert not manifest.current("prepare", CONFIG, "other") and manifest.require("unknown", CONFIG, "x") is None
 
 
 def test_test_rows_are_scored_only_after_the_choice(spark, run, tmp_path):
