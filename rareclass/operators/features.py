@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -21,6 +23,7 @@ from rareclass.functions.hashing import hash_int, hash_key
 from rareclass.functions.quantiles import exact_quantiles
 from rareclass.functions.scalars import no_nan
 from rareclass.operators.split import bounded_sample
+from rareclass.session import materialize
 
 
 class _Columns(Params):
@@ -105,49 +108,115 @@ class MixedScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWrit
 # --- mutual information -------------------------------------------------------------------
 
 GRID_STEP = 1e-6
+GRID_CELLS = 2.0**42  # with 20 bits for ties a place fits a long
+BUCKET_ROWS = 1_000_000
 
 
-def _long_points(df: DataFrame, features: list[str], key: str, label: str, seed) -> DataFrame:
-    """(feature, label, x): each value on an integer grid, ties broken by a hash of the row.
+def _long_points(df: DataFrame, features: list[str], key: str, label: str, seed, steps: list[float]) -> DataFrame:
+    """(f, label, x): each value of feature number f on an integer grid, ties broken by a hash of the row.
 
     Integers make ``x - r`` and ``x + r`` exact. The hash replaces the tiny noise that the
     nearest-neighbour estimate needs for repeated values.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in features])
-    long = df.select(key, F.col(label).cast("int").alias("label"), F.explode(cells).alias("c"))
-    tie = hash_int(5, hash_key(seed, F.col("c.feature"), F.col(key)))
-    x = F.round(F.col("c.v") / GRID_STEP).cast("bigint") * F.lit(2**20) + tie
-    return long.select(F.col(key).alias("key"), F.col("c.feature").alias("feature"), "label", x.alias("x"))
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.lit(c).alias("feature"), (F.col(c).cast("double") / step).alias("v"))
+                      for i, (c, step) in enumerate(zip(features, steps))])
+    long = df.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.explode(cells).alias("c")).where("c.v is not null")
+    tie = hash_int(5, hash_key(seed, F.col("c.feature"), F.col("key")))
+    x = F.round(F.col("c.v")).cast("bigint") * F.lit(2**20) + tie
+    return long.select("key", F.col("c.f").alias("f"), "label", x.alias("x"))
+
+
+def _buckets(points: DataFrame, n_features: int, buckets: int):
+    """(f, place) -> bucket: ranges of about equal size per feature; any cut points give the same counts."""
+    if buckets <= 1:
+        return lambda f, at: F.lit(0)
+    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = {i: np.zeros(0) for i in range(n_features)}
+    for r in points.groupBy("f").agg(F.percentile_approx("x", grid, 100 * buckets).alias("at")).collect():
+        cuts[r["f"]] = np.unique(np.array(r["at"], dtype=np.int64))
+
+    @F.pandas_udf("int")
+    def bucket(f: pd.Series, at: pd.Series) -> pd.Series:
+        out = np.zeros(len(f), dtype=np.int32)
+        for i in np.unique(f):
+            mine = (f == i).to_numpy()
+            out[mine] = np.searchsorted(cuts[i], at.to_numpy()[mine], side="right")
+        return pd.Series(out)
+
+    return bucket
+
+
+def _radii(placed: DataFrame, k: int) -> DataFrame:
+    """Adds the class size ``n_label``, ``kk`` and the distance ``r`` to the kk-th neighbour of the own class.
+
+    In one dimension that lies within k positions: in the row's own bucket, or among the k
+    rows of its class on either side of the bucket, which are carried over.
+    """
+    inside = Window.partitionBy("f", "label", "b").orderBy("x")
+    ranked = (placed.withColumn("p", F.row_number().over(inside))
+              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("f", "label", "b"))))
+    ranked = ranked.withColumns({f"up{i}": F.lead("x", i).over(inside) for i in range(1, k + 1)}
+                                | {f"down{i}": F.lag("x", i).over(inside) for i in range(1, k + 1)})
+    ends = (ranked.where((F.col("p") <= k) | (F.col("p") > F.col("n") - k)).groupBy("f", "label", "b").agg(
+        F.array_sort(F.collect_list(F.when(F.col("p") <= k, F.col("x")))).alias("firsts"),
+        F.array_sort(F.collect_list(F.when(F.col("p") > F.col("n") - k, F.col("x")))).alias("lasts"),
+        F.max("n").alias("rows")))
+    along = Window.partitionBy("f", "label").orderBy("b")  # one row per bucket
+    halo = ends.select(
+        "f", "label", "b", F.flatten(F.collect_list("lasts").over(along.rowsBetween(-k, -1))).alias("before"),
+        F.flatten(F.collect_list("firsts").over(along.rowsBetween(1, k))).alias("after"),
+        F.sum("rows").over(Window.partitionBy("f", "label")).alias("n_label"))
+    near = []
+    for i in range(1, k + 1):
+        over, under = F.col("p") + i - F.col("n"), i - F.col("p") + 1
+        near.append(F.coalesce(f"up{i}", F.when(over > 0, F.try_element_at("after", over.cast("int")))) - F.col("x"))
+        near.append(F.col("x") - F.coalesce(f"down{i}", F.when(under > 0, F.try_element_at("before", (-under).cast("int")))))
+    return (ranked.join(halo, ["f", "label", "b"]).where("n_label > 1")
+            .withColumn("d", F.array_sort(F.array_compact(F.array(*near))))
+            .withColumn("kk", F.least(F.lit(k), F.col("n_label") - 1).cast("int"))
+            .withColumn("r", F.greatest(F.element_at("d", F.col("kk")), F.lit(1)))
+            .select("f", "b", "key", "x", "r", "n_label", "kk"))
 
 
 def mutual_information_ksg(df: DataFrame, features: list[str], key: str = ROW_ID, label: str = TARGET,
-                           k: int = 3, seed=SEED) -> DataFrame:
+                           k: int = 3, seed=SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(feature, mutual_information) by the nearest-neighbour estimate for a continuous and a
-    discrete variable. Meant for a bounded sample: each feature is ordered in one task.
+    discrete variable.
 
-    The radius of a point is its distance to the k-th neighbour of its own class; in one
-    dimension that lies within k positions. Points of any class nearer than the radius are
-    counted by one ordered sweep over interval ends instead of a range join.
+    The radius of a point is its distance to the k-th neighbour of its own class. Points of any
+    class nearer than the radius are counted by an ordered sweep over interval ends instead of a
+    range join. Both walk a feature in buckets of about ``bucket_rows`` rows, with the rows and
+    totals that cross a bucket's ends carried over. NULLs have no place and are left out.
     """
-    points = _long_points(df, features, key, label, seed)
-    in_class = Window.partitionBy("feature", "label").orderBy("x")
-    near = [F.lead("x", i).over(in_class) - F.col("x") for i in range(1, k + 1)]
-    near += [F.col("x") - F.lag("x", i).over(in_class) for i in range(1, k + 1)]
-    whole_class = Window.partitionBy("feature", "label")
-    found = (points.withColumn("d", F.array_sort(F.array_compact(F.array(*near))))
-             .withColumn("n_label", F.count(F.lit(1)).over(whole_class)).where("n_label > 1")
-             .withColumn("kk", F.least(F.lit(k), F.col("n_label") - 1).cast("int"))
-             .withColumn("r", F.greatest(F.element_at("d", F.col("kk")), F.lit(1))))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), *[F.max(F.abs(F.col(c).cast("double"))).alias(f"m{i}")
+                                                     for i, c in enumerate(features)]).first()
+    steps = [max(GRID_STEP, (size[f"m{i}"] or 0.0) / GRID_CELLS) for i in range(len(features))]
+    points = _long_points(df, features, key, label, seed, steps)
+    bucket = _buckets(points, len(features), math.ceil(size["rows"] / bucket_rows))
+    found = materialize(_radii(points.withColumn("b", bucket(F.col("f"), F.col("x"))), k), "radii")
+    # Points before each bucket, a table of features * buckets rows.
+    held = {(r["f"], r["b"]): r["count"] for r in found.groupBy("f", "b").count().collect()}
+    last = max([b for _, b in held], default=0)
+    upto = []
+    for f in range(len(features)):
+        total = 0
+        for b in range(last + 2):
+            upto.append((f, b, total))
+            total += held.get((f, b), 0)
+    carried = df.sparkSession.createDataFrame(upto, "f int, b int, carried bigint")
     ends = F.array(F.struct(F.col("x").alias("at"), F.lit(1).alias("kind")),
                    F.struct((F.col("x") + F.col("r")).alias("at"), F.lit(0).alias("kind")),
                    F.struct((F.col("x") - F.col("r")).alias("at"), F.lit(2).alias("kind")))
-    sweep = Window.partitionBy("feature").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    events = (found.select("f", "key", "n_label", "kk", F.explode(ends).alias("e"))
+              .select("f", "key", "n_label", "kk", "e.at", "e.kind").withColumn("b", bucket(F.col("f"), F.col("at"))))
+    sweep = Window.partitionBy("f", "b").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     # kind 0 (right end) sorts before points at its place, kind 2 (left end) after them.
-    counted = (found.select("feature", "key", "n_label", "kk", F.explode(ends).alias("e"))
-               .select("feature", "key", "n_label", "kk", "e.at", "e.kind")
-               .withColumn("seen", F.count_if(F.col("kind") == 1).over(sweep)))
-    m = (counted.where("kind <> 1").groupBy("feature", "key", "n_label", "kk")
-         .agg(F.sum(F.when(F.col("kind") == 0, F.col("seen")).otherwise(-F.col("seen"))).alias("m")))
+    counted = (events.withColumn("seen", F.count_if(F.col("kind") == 1).over(sweep)).where("kind <> 1")
+               .join(F.broadcast(carried), ["f", "b"]).withColumn("seen", F.col("seen") + F.col("carried")))
+    names = F.array(*map(F.lit, features))
+    m = (counted.groupBy("f", "key", "n_label", "kk")
+         .agg(F.sum(F.when(F.col("kind") == 0, F.col("seen")).otherwise(-F.col("seen"))).alias("m"))
+         .withColumn("feature", F.element_at(names, F.col("f") + 1)))
     # digamma(n) = H(n-1) - gamma for integers; the four gammas cancel.
     stats = m.groupBy("feature", "n_label", "kk", "m").agg(F.count(F.lit(1)).alias("w"))
     total = Window.partitionBy("feature")
@@ -202,7 +271,7 @@ def rank_features(scores: DataFrame, features: list[str], k: int) -> DataFrame:
 class MutualInformationSelector(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Keep the ``k`` features with the highest mutual information with the label.
 
-    ``method='ksg'`` ranks on a stratified sample of ``maxRows``; ``'binned'`` takes every row.
+    Both methods rank on a stratified sample of ``maxRows`` rows, or on all rows if that is 0.
     """
 
     k = Param(Params._dummy(), "k", "features kept", TypeConverters.toInt)
@@ -223,9 +292,7 @@ class MutualInformationSelector(Estimator, _Columns, DefaultParamsReadable, Defa
         if method not in ("ksg", "binned"):
             raise ValueError(f"Unknown method: {method}")
         if method == "ksg":
-            if cap == 0:
-                raise ValueError("The nearest-neighbour ranking needs a bounded sample; use method='binned'.")
-            sample = bounded_sample(df, cap, self.getOrDefault(self.seed))
+            sample = bounded_sample(df, cap or None, self.getOrDefault(self.seed))
             scores = mutual_information_ksg(sample, cols, seed=self.getOrDefault(self.seed))
         else:
             sample = bounded_sample(df, cap or None, self.getOrDefault(self.seed))

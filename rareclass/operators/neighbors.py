@@ -21,6 +21,7 @@ from rareclass.functions.hashing import hash_int, hash_key
 BLOCK_POINTS = 4096
 MAX_PIVOTS = 1024
 
+
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.zeros((len(a), len(b)))
     for j in range(a.shape[1]):
@@ -36,21 +37,26 @@ def _matrix(column) -> np.ndarray:
 def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step: int = 512) -> pd.DataFrame:
     """The k nearest members of each query, itself excluded; ties go to the smaller id."""
     qid, mid = _ids(queries), _ids(members)
-    q_all, m_all, copies = _matrix(queries["x"]), _matrix(members["x"]), members["m"].to_numpy()
-    pid, dist = [], []
-    picked: list[int] = []
+    by_id = np.argsort(mid, kind="stable")
+    mid, m_all, copies = mid[by_id], _matrix(members["x"])[by_id], members["m"].to_numpy()[by_id]
+    q_all = _matrix(queries["x"])
+    asked, picked, dist = [], [], []
     for at in range(0, len(qid), step):
         d = squared_distances(q_all[at:at + step], m_all)
         d[qid[at:at + step, None] == mid[None, :]] = np.inf
         kk = min(k, d.shape[1])
         kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        for i in range(len(d)):
-            near = np.flatnonzero((d[i] <= kth[i]) & np.isfinite(d[i]))
-            near = near[np.lexsort((mid[near], d[i][near]))][:kk]
-            pid.extend([qid[at + i]] * len(near))
-            picked.extend(near)
-            dist.extend(d[i][near])
-    return _frame(pid, dist, mid[np.array(picked, dtype=int)], [m_all[i] for i in picked], copies[np.array(picked, dtype=int)])
+        row, column = np.nonzero((d <= kth[:, None]) & np.isfinite(d))  # k per row, and ties of the last
+        near = d[row, column]
+        order = np.lexsort((column, near, row))
+        row, column, near = row[order], column[order], near[order]
+        first = np.searchsorted(row, row)
+        keep = np.arange(len(row)) - first < kk
+        asked.append(at + row[keep])
+        picked.append(column[keep])
+        dist.append(near[keep])
+    asked, picked = np.concatenate(asked), np.concatenate(picked)
+    return _frame(qid[asked], np.concatenate(dist), mid[picked], m_all[picked], copies[picked])
 
 
 def _frame(pid, d2, nid, nx, nm) -> pd.DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
-from rareclass.config import FEATURES, ROW_ID, TARGET, TrainingConfig
+from rareclass.config import ALGORITHMS, FEATURES, ROW_ID, TARGET, TrainingConfig
 from rareclass.operators import metrics, models, score, split
 from rareclass.plans.catalog import query
 from rareclass.plans.experiment import (
@@ -12,9 +14,8 @@ from rareclass.plans.experiment import (
 from rareclass.plans.fixture import transactions
 from rareclass.session import materialize, shared_dir
 
-# Few trees and candidates keep the checks quick; every row of the tables takes part.
-CONFIG = TrainingConfig(forest_trees=10, report_trees=10, tuning_iterations=2, cv_folds=2, selection_method="binned",
-                        selection_max_rows=None, tuning_max_rows=None)
+# The settings of a real run, on all rows; the ranking is the one for tables of any size.
+CONFIG = TrainingConfig(selection_method="binned", selection_max_rows=None, tuning_max_rows=None)
 
 
 def _split(spark, d):
@@ -65,33 +66,37 @@ def rf_importance(spark, d):
     return models.top_importances(models.feature_importance(forest, names, spark))
 
 
-def _search(spark, d, algorithm="Decision Tree"):
+@functools.lru_cache(maxsize=1)
+def _searched(spark, d):
+    """The whole search of one table: settings tried, results of every fold, size of the sample."""
     parted = _split(spark, d)
     sample = parted.where("partition = 'train'").drop("partition")
-    space = models.sample_candidates(algorithm, CONFIG.tuning_iterations, CONFIG.seed)
+    space = {a: models.sample_candidates(a, CONFIG.tuning_iterations, CONFIG.seed) for a in ALGORITHMS}
     p = Prepared(spark, shared_dir(spark, "search"), CONFIG, "", parted)
-    results = fold_scores(p, sample, {(algorithm, s): space for s in (False, True)})
-    return space, results, sample
+    results = fold_scores(p, sample, {(a, s): space[a] for a, s in models.GRID})
+    size = sample.agg(F.count(F.lit(1)), F.sum(F.col(TARGET).cast("bigint"))).first()
+    return space, results, size
 
 
 @query("cv_candidates")
 def cv_candidates(spark, d):
-    space, results, _ = _search(spark, d)
-    params = spark.createDataFrame([(i, models.params_json(q)) for i, q in enumerate(space, 1)], "candidate bigint, params string")
-    return candidate_table(spark, results).join(params, "candidate").select(*CANDIDATE_COLUMNS)
+    space, results, _ = _searched(spark, d)
+    tried = [(models.experiment_key(a, s, "tuned"), i, models.params_json(q)) for a, s in models.GRID
+             for i, q in enumerate(space[a], 1)]
+    params = spark.createDataFrame(tried, "experiment string, candidate bigint, params string")
+    return candidate_table(spark, results).join(params, ["experiment", "candidate"]).select(*CANDIDATE_COLUMNS)
 
 
 @query("tuned_search")
 def tuned_search(spark, d):
-    space, results, sample = _search(spark, d)
-    size = sample.agg(F.count(F.lit(1)), F.sum(F.col(TARGET).cast("bigint"))).first()
+    space, results, size = _searched(spark, d)
     best: dict[str, dict] = {}
     for r in candidate_table(spark, results).orderBy(F.desc("mean_cv_ap"), "candidate").collect():
         best.setdefault(r["experiment"], r.asDict())
-    rows = [{"experiment": n, "algorithm": n.split(" | ")[0], "imbalance": n.split(" | ")[1], "search_rows": size[0],
-             "search_frauds": size[1], "candidates": len(space), "folds": CONFIG.cv_folds,
+    rows = [{"experiment": n, "algorithm": (a := n.split(" | ")[0]), "imbalance": n.split(" | ")[1], "search_rows": size[0],
+             "search_frauds": size[1], "candidates": len(space[a]), "folds": CONFIG.cv_folds,
              "cv_average_precision": r["mean_cv_ap"], "cv_ap_std": r["std_cv_ap"],
-             "best_params": models.params_json(space[r["candidate"] - 1])} for n, r in best.items()]
+             "best_params": models.params_json(space[a][r["candidate"] - 1])} for n, r in best.items()]
     return _frame(spark, rows, [c for c in TUNING_COLUMNS if not c.endswith("seconds")])
 
 

@@ -6,9 +6,9 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from rareclass.config import COMPONENTS, FEATURES, ROBUST_COLUMNS, ROW_ID, TARGET, TrainingConfig
+from rareclass.config import COMPONENTS, FEATURES, ROBUST_COLUMNS, ROW_ID, TARGET
 from rareclass.operators import features, profile, resample, score
-from rareclass.operators.split import bounded_sample, stratified_split
+from rareclass.operators.split import stratified_split
 from rareclass.plans.catalog import query, rounded
 from rareclass.plans.fixture import transactions
 from rareclass.plans.oracle import RANKED, hash_int_sql, hash_sql, hash_unit_sql, rnd, sql, union
@@ -221,22 +221,15 @@ def _psi(col: str) -> str:
     return f"(CASE WHEN {col} <= 20 THEN {small}[CAST({col} AS INTEGER)]::DOUBLE ELSE {series} END)"
 
 
-RANKING_ROWS = TrainingConfig().selection_max_rows  # this estimate is defined on a bounded stratified sample
-KSG_FEATURES = ["Time", *COMPONENTS[3:], "Amount"]  # the columns without missing values
-
-
 def _ksg_sql() -> str:
     long = union(
-        f"""SELECT '{c}' AS feature, row_id, Class, CAST(ROUND({c} / 1e-6::DOUBLE) AS BIGINT) * {2**20}
- + {hash_int_sql(5, hash_sql(f"'{c}'", "row_id"))} AS x FROM ranking WHERE {c} IS NOT NULL""" for c in KSG_FEATURES)
+        f"""SELECT '{c}' AS feature, row_id, Class, CAST(ROUND((({c} - {_SCALE[c][0]}) / {_SCALE[c][1]}) / 1e-6::DOUBLE) AS BIGINT) * {2**20}
+ + {hash_int_sql(5, hash_sql(f"'{c}'", "row_id"))} AS x FROM itrain""" for c in FEATURES)
     near = ", ".join([f"LEAD(x, {i}) OVER w - x" for i in (1, 2, 3)] + [f"x - LAG(x, {i}) OVER w" for i in (1, 2, 3)])
     return sql(
         f"""SELECT feature, {rnd(f"GREATEST(AVG({_psi('n')} + {_psi('kk')} - {_psi('nl')} - {_psi('m')}), 0)", "mutual_information")}
- FROM counted GROUP BY feature""", "train", extra=[
-            ("size", "SELECT COUNT(*) AS n, CAST(SUM(Class) AS BIGINT) AS p FROM train"),
-            ("ranking", f"""SELECT t.* FROM (SELECT *, {RANKED} AS rk FROM train) t CROSS JOIN size WHERE n <= {RANKING_ROWS}
- OR rk <= CASE WHEN Class = 1 THEN (2 * {RANKING_ROWS} * p + n) // (2 * n) ELSE {RANKING_ROWS} - (2 * {RANKING_ROWS} * p + n) // (2 * n) END"""),
-            ("long", long),
+ FROM counted GROUP BY feature""", "split", "train", extra=[
+            *_PREP, ("long", long),
             ("d", f"""SELECT *, list_sort(list_filter([{near}], lambda t: t IS NOT NULL)) AS ds, COUNT(*) OVER (PARTITION BY feature, Class) AS nl
  FROM long WINDOW w AS (PARTITION BY feature, Class ORDER BY x)"""),
             ("rad", "SELECT *, LEAST(3, nl - 1) AS kk, GREATEST(ds[CAST(LEAST(3, nl - 1) AS INTEGER)], 1) - 1 AS r FROM d WHERE nl > 1"),
@@ -246,8 +239,10 @@ def _ksg_sql() -> str:
 
 @query("mi_ksg", _ksg_sql())
 def mi_ksg(spark, d):
-    sample = bounded_sample(training_table(spark, d), RANKING_ROWS)
-    return rounded(features.mutual_information_ksg(sample, KSG_FEATURES))
+    """All imputed and scaled features of all training rows."""
+    train = training_table(spark, d)
+    imputed = features.MedianImputer().fit(train).transform(train)
+    return rounded(features.mutual_information_ksg(features.MixedScaler().fit(imputed).transform(imputed), FEATURES))
 
 
 # --- resampling ---------------------------------------------------------------------------
@@ -259,20 +254,18 @@ def smote_counts(spark, d):
     return resample.smote_counts(transactions(spark, d))
 
 
-SMOTE_FEATURES = [*COMPONENTS[3:], "Amount"]
-
-
 def _smote_sql() -> str:
-    vec = "[" + ", ".join(SMOTE_FEATURES) + "]"
-    d2 = " + ".join(f"(a.x[{i}] - b.x[{i}]) * (a.x[{i}] - b.x[{i}])" for i in range(1, len(SMOTE_FEATURES) + 1))
+    vec = "[" + ", ".join(f"({c} - {_SCALE[c][0]}) / {_SCALE[c][1]}" for c in FEATURES) + "]"
+    d2 = " + ".join(f"(a.x[{i}] - b.x[{i}]) * (a.x[{i}] - b.x[{i}])" for i in range(1, len(FEATURES) + 1))
     draw = hash_sql("pid", "draw")
+    moved = ", ".join(rnd(f"x[{i}] + u * (near[neighbor + 1][{i}] - x[{i}])", c, 5) for i, c in enumerate(FEATURES, 1))
     return sql(
-        f"""SELECT pid, draw, neighbor, {rnd("u", "u", 8)}, {rnd("x[1] + u * (near[neighbor + 1][1] - x[1])", "V4")},
- {rnd("x[25] + u * (near[neighbor + 1][25] - x[25])", "V28")}, {rnd("x[26] + u * (near[neighbor + 1][26] - x[26])", "Amount", 5)} FROM drawn""",
-        "tx", extra=[
-            ("need", """SELECT p, CAST(FLOOR((n - p) * 0.1::DOUBLE) AS BIGINT) - p AS new FROM (SELECT COUNT(*) AS n, CAST(SUM(Class) AS BIGINT) AS p FROM tx)"""),
-            ("mino", f"""SELECT row_id, {vec} AS x, new // p + CASE WHEN r <= new % p THEN 1 ELSE 0 END AS c
- FROM (SELECT *, {RANKED} AS r FROM tx) CROSS JOIN need WHERE Class = 1"""),
+        f"""SELECT pid, draw, neighbor, {rnd("u", "u", 8)}, {moved} FROM drawn""",
+        "split", "train", extra=[
+            *_PREP, ("fit", f"SELECT row_id, Class, {vec} AS x FROM itrain"),
+            ("need", """SELECT p, CAST(FLOOR((n - p) * 0.1::DOUBLE) AS BIGINT) - p AS new FROM (SELECT COUNT(*) AS n, CAST(SUM(Class) AS BIGINT) AS p FROM fit)"""),
+            ("mino", f"""SELECT row_id, x, new // p + CASE WHEN r <= new % p THEN 1 ELSE 0 END AS c
+ FROM (SELECT *, {RANKED} AS r FROM fit) CROSS JOIN need WHERE Class = 1"""),
             ("points", "SELECT x, COUNT(*) AS m, MIN(row_id) AS pid, CAST(SUM(c) AS BIGINT) AS draws FROM mino GROUP BY x"),
             ("pairs", f"SELECT a.pid, b.x, LEAST(b.m, 5) AS m, {d2} AS d2, b.pid AS nid FROM points a JOIN points b ON a.pid <> b.pid"),
             ("top", """SELECT pid, flatten(list(list_resize([x], m, x) ORDER BY d2, nid)) AS near FROM (SELECT *, ROW_NUMBER() OVER
@@ -286,11 +279,13 @@ def _smote_sql() -> str:
 
 @query("smote_rows", _smote_sql())
 def smote_rows(spark, d):
-    tx = transactions(spark, d).select(ROW_ID, TARGET, F.array(*SMOTE_FEATURES).alias("x"))
-    new = resample.smote(tx)
-    x = F.col("x")
-    return new.select("pid", "draw", "neighbor", F.round("u", 8).alias("u"), F.round(x[0], 6).alias("V4"),
-                      F.round(x[24], 6).alias("V28"), F.round(x[25], 5).alias("Amount"))
+    """Synthetic rows of the training rows, in the space of all imputed and scaled features."""
+    train = training_table(spark, d)
+    imputed = features.MedianImputer().fit(train).transform(train)
+    scaled = features.MixedScaler().fit(imputed).transform(imputed)
+    new = resample.smote(scaled.select(ROW_ID, TARGET, F.array(*FEATURES).alias("x")))
+    return new.select("pid", "draw", "neighbor", F.round("u", 8).alias("u"),
+                      *[F.round(F.col("x")[i], 5).alias(c) for i, c in enumerate(FEATURES)])
 
 
 # --- context of a row ---------------------------------------------------------------------

@@ -64,6 +64,12 @@ def test_ksg_against_brute_force(spark):
         same = np.sort(np.abs(x[y == y[i]] - x[i]))[3]
         total += psi(200) + psi(3) - psi((y == y[i]).sum()) - psi((np.abs(x - x[i]) < same).sum())
     assert got == pytest.approx(total / 200, abs=1e-3) and got < log(2)
+    # Buckets of any size and a grid for large values give the same estimate.
+    for rows in (7, 50):
+        again = features.mutual_information_ksg(df, ["x"], bucket_rows=rows).first()["mutual_information"]
+        assert again == pytest.approx(got, abs=1e-12)
+    large = features.mutual_information_ksg(df.withColumn("x", F.col("x") * 1e12), ["x"]).first()["mutual_information"]
+    assert large == pytest.approx(got, abs=1e-3)
 
 
 @pytest.mark.parametrize("block, pivots", [(5000, 8), (60, 16), (40, 3)])
