@@ -1,17 +1,20 @@
-"""Registered queries that fit models; their rows have no SQL counterpart."""
+"""Registered queries that fit models: small problems that SQL can solve too, and real fits."""
 
 from __future__ import annotations
 
 import functools
+import re
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from rareclass.config import ALGORITHMS, FEATURES, ROW_ID, TARGET, TrainingConfig
 from rareclass.operators import metrics, models, score, split
-from rareclass.plans.catalog import query
+from rareclass.plans.catalog import query, rounded
 from rareclass.plans.experiment import (
     CANDIDATE_COLUMNS, TUNING_COLUMNS, Prepared, _frame, candidate_table, fold_scores, score_parts, shared_frames)
 from rareclass.plans.fixture import transactions
+from rareclass.plans.oracle import rnd, sql, union
 from rareclass.session import materialize, shared_dir
 
 # The settings of a real run, on all rows; the ranking is the one for tables of any size.
@@ -112,3 +115,59 @@ def model_scored_rows(spark, d):
     raw = parted.where("partition = 'test'").select(ROW_ID, *FEATURES, TARGET)
     return score.apply_model(raw, pipeline, 0.5).select(
         ROW_ID, TARGET, score.SCORE, "predicted_class", "prediction", "decision_threshold")
+
+
+# --- fits that SQL can solve ----------------------------------------------------------------
+
+_RATE_GROUP = "CASE WHEN COALESCE(V1, 0) > 0.05 THEN 1 ELSE 0 END"
+
+
+@query("lr_group_rates", sql(f"""SELECT g AS "group", COUNT(*) AS rows, {rnd("AVG(Class)", "score", 4)}
+ FROM (SELECT Class, {_RATE_GROUP} AS g FROM tx) GROUP BY g""", "tx"))
+def lr_group_rates(spark, d):
+    """Logistic regression on one binary feature with next to no penalty gives each group's rate."""
+    tx = transactions(spark, d).withColumn("g", F.expr(_RATE_GROUP))
+    rows = tx.select(array_to_vector(F.array(F.col("g").cast("double"))).alias("features"), F.col(TARGET).cast("double").alias(TARGET), "g")
+    model = models.fit_classifier(rows, "Logistic Regression", {"C": 1e8, "tol": 1e-12}, CONFIG.seed)
+    scored = models.positive_score(rows, model, ["g"])
+    return scored.groupBy(F.col("g").alias("group")).agg(F.count(F.lit(1)).alias("rows"), F.round(F.max("score"), 4).alias("score"))
+
+
+# Few-valued features: every cut between two values is tried by tree and SQL alike.
+# The classes are balanced: MLlib merges leaves that predict the same class.
+_STUMP_LABEL = "CASE WHEN V5 * 20 + row_id % 3 > 1 THEN 1 ELSE 0 END"
+_STUMP = {"amount": "LEAST(FLOOR(Amount / 40), 7)", "v1": "FLOOR(COALESCE(V1, 0) * 20)", "v5": "FLOOR(V5 * 20)"}
+
+
+def _stump_sql() -> str:
+    levels = union(f"SELECT '{n}' AS feature, {i} AS place, v, COUNT(*) AS n, CAST(SUM(y) AS BIGINT) AS p FROM "
+                   f"(SELECT {e} AS v, {_STUMP_LABEL} AS y FROM tx) GROUP BY v" for i, (n, e) in enumerate(_STUMP.items()))
+    gini = lambda p, n: f"({n} - ({p} * {p} + ({n} - {p}) * ({n} - {p}))::DOUBLE / {n})"  # noqa: E731  size times impurity
+    return sql(
+        f"""SELECT feature, {rnd("threshold")}, n AS left_rows, tn - n AS right_rows, {rnd("p::DOUBLE / n", "left_score")},
+ {rnd("(tp - p)::DOUBLE / (tn - n)", "right_score")} FROM cuts ORDER BY {gini("p", "n")} + {gini("(tp - p)", "(tn - n)")}, place, threshold LIMIT 1""",
+        "tx", extra=[
+            ("levels", levels),
+            ("run", """SELECT feature, place, v, LEAD(v) OVER w AS up, SUM(n) OVER c AS n, SUM(p) OVER c AS p,
+ SUM(n) OVER (PARTITION BY feature) AS tn, SUM(p) OVER (PARTITION BY feature) AS tp FROM levels
+ WINDOW w AS (PARTITION BY feature ORDER BY v), c AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)"""),
+            ("cuts", """SELECT feature, place, (v + up) / 2 AS threshold, CAST(n AS BIGINT) AS n, CAST(p AS BIGINT) AS p,
+ CAST(tn AS BIGINT) AS tn, CAST(tp AS BIGINT) AS tp FROM run WHERE up IS NOT NULL""")])
+
+
+@query("tree_stump", _stump_sql())
+def tree_stump(spark, d):
+    """A tree of depth one is the best Gini cut over all features and values."""
+    tx = transactions(spark, d)
+    rows = tx.select(array_to_vector(F.array(*[F.expr(e).cast("double") for e in _STUMP.values()])).alias("features"),
+                     F.expr(_STUMP_LABEL).cast("double").alias(TARGET))
+    model = models.fit_classifier(rows, "Decision Tree", {"criterion": "gini", "max_depth": 1, "min_samples_leaf": 1}, CONFIG.seed)
+    # The one split is the only text that holds a comparison.
+    place, threshold = re.search(r"feature (\d+) <= (-?[\d.Ee-]+)", model.toDebugString).groups()
+    sides = models.positive_score(rows, model, ["features"]).select(
+        (vector_to_array("features")[int(place)] <= float(threshold)).alias("left"), "score")
+    at = lambda side, agg: agg(F.when(F.col("left") == side, F.col("score")))
+    return rounded(sides.agg(
+        F.lit(list(_STUMP)[int(place)]).alias("feature"), F.lit(float(threshold)).alias("threshold"),
+        at(True, F.count).alias("left_rows"), at(False, F.count).alias("right_rows"),
+        at(True, F.max).alias("left_score"), at(False, F.max).alias("right_score")))
