@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rareclass.errors import DatasetError
 from rareclass.functions.scalars import f1_of, ratio
+from rareclass.session import materialize
 
 GROUP = ["experiment", "partition"]
 BUCKET_ROWS = 1_000_000
@@ -51,7 +52,7 @@ def distinct_scores(scores: DataFrame, group: list[str] = GROUP) -> DataFrame:
 
 
 def score_splits(scores: DataFrame, bucket_rows: int = BUCKET_ROWS) -> list[float]:
-    """Cut points that leave about ``bucket_rows`` rows between them; none for a small table.
+    """Cut points that leave about ``bucket_rows`` rows of ``scores`` between them; none for a small table.
 
     They come from a sample and only balance the work: any cut points give the same curve.
     """
@@ -69,9 +70,12 @@ def score_splits(scores: DataFrame, bucket_rows: int = BUCKET_ROWS) -> list[floa
 def curve(scores: DataFrame, group: list[str] = GROUP, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per distinct score, highest first in meaning:
     ``pos, neg`` at the score, ``tp, fp`` at or above it, ``p, n`` in the group, and
-    ``next_pos, next_neg`` of the next lower score."""
-    points = distinct_scores(scores, group)
-    splits = score_splits(scores, bucket_rows)
+    ``next_pos, next_neg`` of the next lower score.
+
+    ``scores`` is evaluated once: its distinct scores are written, and all else reads those.
+    """
+    points = materialize(distinct_scores(scores, group), "points")
+    splits = score_splits(points, bucket_rows)
     if not splits:
         down = Window.partitionBy(*group).orderBy(F.desc("score"))
         run = down.rowsBetween(Window.unboundedPreceding, 0)
@@ -82,7 +86,7 @@ def curve(scores: DataFrame, group: list[str] = GROUP, bucket_rows: int = BUCKET
             F.lead("pos").over(down).alias("next_pos"), F.lead("neg").over(down).alias("next_neg"))
     cut = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="score", outputCol="b")
     points = cut.transform(points)
-    # One row per group and bucket: at most MAX_BUCKETS per model and partition.
+    # One row per group and bucket.
     totals = points.groupBy(*group, "b").agg(
         F.sum("pos").alias("bp"), F.sum("neg").alias("bn"),
         F.max_by(F.struct("pos", "neg"), "score").alias("top"))
