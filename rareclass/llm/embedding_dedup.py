@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rareclass.llm.components import connected_components
+from rareclass.llm.samples import hash_sample
 from rareclass.session import materialize
 
 
@@ -50,8 +51,7 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
 
 def learn_rotations(vectors: DataFrame, config: EmbeddingConfig) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projections): ITQ on a sample of at most ``sample_rows`` vectors of the usual length."""
-    rows = (vectors.orderBy(F.xxhash64(F.lit(config.seed), "vec_id"), "vec_id").limit(config.sample_rows)
-            .select("embedding").toPandas()["embedding"])
+    rows = hash_sample(vectors, config.sample_rows, config.seed, "vec_id").select("embedding").toPandas()["embedding"]
     sizes = rows.map(len)
     if not len(rows):
         return np.zeros(1), np.zeros((1, 64 * config.rotations))

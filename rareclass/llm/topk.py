@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rareclass.llm.samples import hash_sample
 from rareclass.session import materialize
 
 BITS = 64
@@ -122,8 +123,8 @@ def exact_top_k(base: DataFrame, queries: DataFrame, config: TopKConfig = TopKCo
     # Of equal codes only the least ids can be among the nearest.
     index = materialize(base.distinct().withColumn("n", F.row_number().over(least)).where(f"n <= {need}")
                         .groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "codes")
-    sample = np.array([r["code"] for r in index.orderBy(F.xxhash64(F.lit(config.seed), "code"), "code")
-                       .select("code").limit(config.sample).collect()], dtype=np.int64)
+    sample = np.array([r["code"] for r in hash_sample(index.select("code"), config.sample, config.seed, "code").collect()],
+                      dtype=np.int64)
     queries = queries.distinct()
     active = materialize(_first_bounds(queries.select(F.col("code").alias("query")).distinct(), sample, need), "bounds")
     table = materialize(_table(index, config), "segments")

@@ -18,6 +18,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rareclass.llm.samples import hash_sample
 from rareclass.llm.words import RangeHash, Words, mix, pieces, words
 from rareclass.session import materialize
 
@@ -108,8 +109,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, config: ToxicityConfig) ->
     known = (labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    chosen = (known.join(ids, "doc_id").orderBy(F.xxhash64(F.lit(config.seed), "doc_id"), "doc_id")
-              .limit(config.max_rows))
+    chosen = hash_sample(known.join(ids, "doc_id"), config.max_rows, config.seed, "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # The sample has max_rows rows of two numbers at most.
     return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
