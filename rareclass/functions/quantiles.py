@@ -71,6 +71,8 @@ def _narrowed(wide, counts, places, columns, probs, leaf_rows, sample_rows) -> d
         if not large:
             break
         _halve(values, large, sample_rows)
+    else:
+        raise RuntimeError(f"Quantiles were not found in {MAX_ROUNDS} rounds.")
     _read(values, [t for t in ranks.values() if t.value is None])
     out = {}
     for r in counts:
