@@ -82,16 +82,15 @@ def resolve_revisits(records: DataFrame, span_seconds: int = SPAN_SECONDS) -> Da
     order = (Window.partitionBy("url_key", "span").orderBy("at", "full", "record_id")
              .rowsBetween(Window.unboundedPreceding, 0))
     inside = placed.withColumn("inside", F.last(F.when(F.col("full"), response), ignorenulls=True).over(order)).where("not full")
-    asked = inside.join(carried, ["url_key", "span"]).select(
-        "record_id", "url_key", "etag", "last_modified", "entries", F.coalesce("inside", "carried").alias("old"))
-    lost = rows.where("kind = 'revisit' and (url_key is null or at is null)").select(
-        "record_id", "url_key", "etag", "last_modified", "entries").withColumn(
-        "old", F.lit(None).cast(asked.schema["old"].dataType))
+    own = ["record_id", "url_key", "etag", "last_modified", "entries"]
+    asked = inside.join(carried, ["url_key", "span"]).select(*own, F.coalesce("inside", "carried").alias("old"))
+    nothing = F.lit(None).cast(asked.schema["old"].dataType)
+    lost = rows.where("kind = 'revisit' and (url_key is null or at is null)").select(*own, nothing.alias("old"))
+    same_tag = weak_tag(F.col("etag")) == weak_tag(F.col("old.etag"))
+    same_date = F.col("last_modified") == F.col("old.last_modified")
     status = (F.when(F.col("old").isNull(), "no_response")
-              .when(F.col("etag").isNotNull(), F.when(
-                  F.coalesce(weak_tag(F.col("etag")) == weak_tag(F.col("old.etag")), F.lit(False)), "resolved").otherwise("mismatch"))
-              .when(F.col("last_modified").isNotNull(), F.when(
-                  F.coalesce(F.col("last_modified") == F.col("old.last_modified"), F.lit(False)), "resolved").otherwise("mismatch"))
+              .when(F.col("etag").isNotNull(), F.when(same_tag, "resolved").otherwise("mismatch"))
+              .when(F.col("last_modified").isNotNull(), F.when(same_date, "resolved").otherwise("mismatch"))
               .otherwise("unchecked"))
     return (asked.union(lost).withColumn("status", status).select(
         "record_id", "url_key", F.col("old.record_id").alias("response_id"), "status",

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rareclass.llm.samples import hash_sample
-from rareclass.llm.words import RangeHash, Words, mix, pieces, words
+from rareclass.llm.words import RangeHash, Words, pieces, words
 from rareclass.session import materialize
 
 

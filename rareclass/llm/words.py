@@ -116,9 +116,3 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, start, end, hashes, first, doc)
-
-
-def take(batch: pa.RecordBatch, rows: np.ndarray, *names: str) -> list[pa.Array]:
-    """The named columns at the given rows."""
-    at = pa.array(rows)
-    return [batch.column(n).take(at) for n in names]
