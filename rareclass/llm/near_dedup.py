@@ -106,7 +106,7 @@ def _fixed_binary(rows: np.ndarray) -> pa.Array:
 
 
 def sign(docs: DataFrame, config: NearDedupConfig) -> DataFrame:
-    """``(doc_id, n_shingles, set_a, set_b, minima)``; an empty set has null minima."""
+    """``(doc_id, text_key, n_shingles, set_a, set_b, minima)``; an empty set has null minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -118,12 +118,12 @@ def sign(docs: DataFrame, config: NearDedupConfig) -> DataFrame:
             keys = [mix((s[first[1:]] - s[first[:-1]]) ^ size.astype(np.uint64)).view(np.int64) for s in sums]
             minima = _fixed_binary(signatures(value, first, config))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(size), pa.array(keys[0]), pa.array(keys[1]),
+                [piece.column("doc_id"), piece.column("text_key"), pa.array(size), pa.array(keys[0]), pa.array(keys[1]),
                  pa.compute.if_else(pa.array(size > 0), minima, pa.scalar(None, pa.binary()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "minima"])
+                names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "minima"])
 
-    return (docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, minima binary"))
+    return docs.select("doc_id", "text_key", "text").mapInArrow(
+        run, "doc_id bigint, text_key bigint, n_shingles bigint, set_a bigint, set_b bigint, minima binary")
 
 
 def band_keys(minima: np.ndarray, config: NearDedupConfig) -> np.ndarray:
@@ -289,12 +289,21 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; a text with fewer than
     ``shingle_words`` words is one shingle. A null or empty text, and a row without an id, has
-    no links; the latter has a null ``component_id`` and is kept. Rows that repeat an id share
-    a component. ``component_id`` is the least id reachable by links.
+    no links; the latter has a null ``component_id`` and is kept. An id that repeats is one
+    document: where its texts differ, the one with the least ``xxhash64`` links for all its
+    rows. ``component_id`` is the least id reachable by links.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = materialize(sign(docs, config), "signed")
-    full = signed.where("n_shingles > 0 and doc_id is not null")
+    # Ids with several texts, usually none: only one of the texts speaks for the id.
+    several = (signed.groupBy(F.col("doc_id").alias("id")).agg(F.min("text_key").alias("first"), F.max("text_key").alias("last"))
+               .where("first < last").select("id", "first"))
+
+    def speaking(rows: DataFrame) -> DataFrame:
+        return rows.join(several, (rows.doc_id == several.id) & (rows.text_key != several["first"]), "left_anti")
+
+    full = speaking(signed.where("n_shingles > 0 and doc_id is not null"))
     # One node per distinct set, named by its least id; copies hang on it.
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
     named = materialize(full.join(sets, ["set_a", "set_b", "n_shingles"]).select(
@@ -312,7 +321,7 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     pairs = materialize(pairs, "pairs")
     likely = materialize(alike(pairs, nodes, config), "likely")
     # Every node of a bucket with several nodes is in a pair; their texts serve both searches.
-    texts = _texts_of(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")), docs)
+    texts = _texts_of(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")), speaking(docs).drop("text_key"))
     links = materialize(confirmed(likely, texts, config), "confirmed")
     found = connected_components(links)
 
