@@ -28,7 +28,7 @@ def test_top_k_equals_brute_force(spark, segments):
 
     rng = random.Random(segments)
     centres = [rng.getrandbits(64) - (1 << 63) for _ in range(6)]
-    base = [(i, rng.choice(centres) ^ sum(1 << rng.randrange(63) for _ in range(rng.randrange(4)))) for i in range(300)]
+    base = [(i, rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4)))) for i in range(300)]
     base += [(1000 + i, centres[0]) for i in range(60)] + [(None, 5), (5000, None), base[0]]
     queries = base[::9] + [(7777, rng.getrandbits(62)), (None, 3)]
     df, asked = (spark.createDataFrame([(a, b, 0) for a, b in x], BASE) for x in (base, queries))
