@@ -40,7 +40,7 @@ class PackingConfig:
     linear: float = 1.0
     quadratic: float = 1.0 / 8192
     group_tokens: int = 1 << 21
-    cached_words: int = 1 << 20
+    cached_words: int = 1 << 19
 
     def cost(self, n: int) -> float:
         return n * self.linear + n * n * self.quadratic
@@ -54,7 +54,7 @@ _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:
 
 
 # Words that wait to be merged, and parts of words that are remembered.
-_RECENT, _PARTS = 1 << 16, 1 << 17
+_RECENT, _PARTS = 1 << 16, 1 << 16
 
 
 class _Grown:

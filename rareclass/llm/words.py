@@ -61,14 +61,13 @@ class RangeHash:
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; a null is an empty text."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    """Bytes (a view) and offsets of a string column; a null is an empty text."""
     if column.null_count:
         column = column.fill_null("")
     parts = column.buffers()
-    offsets = np.frombuffer(parts[1], dtype=np.int64, count=len(column) + 1, offset=8 * column.offset)
+    kind = np.dtype(np.int64 if pa.types.is_large_string(column.type) else np.int32)
+    offsets = np.frombuffer(parts[1], dtype=kind, count=len(column) + 1, offset=kind.itemsize * column.offset)
+    offsets = offsets.astype(np.int64)
     if parts[2] is None or offsets[-1] == offsets[0]:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
     data = np.frombuffer(parts[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
