@@ -50,7 +50,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
         root = _scratch()
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
