@@ -1,8 +1,8 @@
 """Secrets in texts: fixed patterns, and strings that a tokenizer finds hard to shorten.
 
 Random keys have few characters per token under a vocabulary of natural text. Unbroken
-strings that mix letters and digits are encoded; those with a low ratio are secrets unless
-they are known digests or identifiers.
+strings with a letter are encoded, with digits or without; those with a low ratio are secrets
+unless they are known digests or identifiers.
 """
 
 from __future__ import annotations
@@ -32,7 +32,16 @@ _WORDS = re.compile(r"(?i:password|passwd|secret|token|api_?key)", re.A)
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-_NAME = re.compile(r"[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{0,4}|[0-9]+([_/=+-][0-9]+)*")
+# Words of one case, capitalised or in camel case, joined by separators. Below _SHORT characters
+# any part of a name may hold a number. A single word is no name: its ratio decides.
+_PART = r"(?:(?:[A-Z]?[a-z]{2,})(?:[A-Z][a-z]{2,})*|[A-Z]+|[a-z])"
+_NAME = re.compile(rf"[_/=+-]*{_PART}(?:[_/=+-]+{_PART})+[_/=+-]*[0-9]{{0,4}}|[_/=+-]+{_PART}[_/=+-]*[0-9]{{0,4}}"
+                   rf"|{_PART}[_/=+-]+[0-9]{{0,4}}")
+_SHORT_NAME = re.compile(rf"[_/=+-]*(?:{_PART}[0-9]{{0,4}}|[0-9]{{1,4}}[a-z]?)"
+                         rf"(?:[_/=+-]+(?:{_PART}[0-9]{{0,4}}|[0-9]{{1,4}}[a-z]?))+[_/=+-]*")
+_SHORT = 20
+_NUMBER = re.compile(r"[0-9]+[eE][+-]?[0-9]+|[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9]{2,6}Z?")
+_ONE_CASE = re.compile(r"[A-Z]?[a-z]*[0-9]{0,4}|[A-Z]+[0-9]{0,4}")
 
 
 @dataclass(frozen=True)
@@ -40,24 +49,30 @@ class SecretConfig:
     """``vocabulary`` is a tiktoken rank file and ``pattern`` its split pattern.
 
     A string of at least ``least`` characters is random if it has fewer than ``ratio``
-    characters per token, at least one digit and at least one letter.
+    characters per token and at least one letter. A single word of one case, which may end
+    in up to four digits, must have ``least_word`` characters: shorter compounds of natural
+    text reach such ratios.
     """
 
     vocabulary: str
     pattern: str
-    least: int = 20
+    least: int = 16
+    least_word: int = 20
     ratio: float = 2.0
 
 
 def _candidates(least: int) -> re.Pattern:
-    return re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{%d,}" % least, re.A)
+    return re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % least, re.A)
 
 
 def _excluded(text: str) -> bool:
     """Known digests and identifiers."""
     return ((len(text) in DIGEST_LENGTHS and _DIGEST.fullmatch(text) is not None)
             or _UUID.fullmatch(text) is not None or _NAME.fullmatch(text) is not None
-            or not any(c.isalpha() for c in text))
+            or len(text) < _SHORT and _SHORT_NAME.fullmatch(text) is not None
+            or _NUMBER.fullmatch(text) is not None or not any(c.isalpha() for c in text)
+            # Rulers, numerals and sequences of bases: random letters have more distinct ones.
+            or text.isalpha() and len(set(text)) < 8)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -84,7 +99,7 @@ class Scanner:
         """Random strings that no base span overlaps."""
         found = []
         for m in self.pattern.finditer(text):
-            if _excluded(m[0]) or any(m.start() < end and start < m.end() for start, _, end in taken):
+            if len(m[0]) < self.config.least_word and _ONE_CASE.fullmatch(m[0]) or _excluded(m[0]) or any(m.start() < end and start < m.end() for start, _, end in taken):
                 continue
             if len(m[0]) < self.config.ratio * len(self.encoding.encode_ordinary(m[0])):
                 found.append((m.start(), 3, m.end()))

@@ -193,6 +193,28 @@ def test_secrets(spark, sf):
     assert secrets.scan(frame(spark, []), config).count() == 0
 
 
+def test_random_keys_without_digits_and_short_ones(spark, sf):
+    rng = random.Random(4)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    cases = [(upper + lower, 16), (upper + lower, 20), (upper + lower, 40), (upper, 32), (lower, 48),
+             (upper + lower + "0123456789", 16), (upper + lower + "0123456789+/", 20)]
+    keys = [["".join(rng.choices(letters, k=size)) for _ in range(100)] for letters, size in cases]
+    keys.append(["".join(rng.choices(upper + lower, k=24)) + str(rng.randrange(1, 9999)) for _ in range(100)])
+    rows = [(i * 100 + j, f"see {key} there") for i, case in enumerate(keys) for j, key in enumerate(case)]
+    found = [0] * len(keys)
+    for r in secrets.scan(frame(spark, rows), secret_config(), ["doc_id"]).collect():
+        found[r.doc_id // 100] += r.n_random == 1 and r.redacted == "see [SECRET] there"
+    assert min(found) >= 95
+    names = ["some_long_function_name_2024", "PRETRAINED_MODELS_AND_TOKENS", "test_units_H_T_S_L_N_U", "org/io/lib/a/b/c/d/x1",
+             "getElementsByClassName", "Donaudampfschiffahrtsgesellschaft", "UNVERANTWORTLICHKEIT", "svn_fs_begin_txn2",
+             "744709918330393e-01", "20241231T235959Z", "XVXVXVXVXVXVMMMMMMMMXV", "W" * 300, "einpfauaueinchpf"]
+    got = secrets.scan(frame(spark, list(enumerate(names))), secret_config(), ["doc_id"]).collect()
+    assert [names[r.doc_id] for r in got if r.n_random] == []
+    # The given documents hold no random string beside the base patterns.
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert secrets.scan(docs, secret_config()).where("n_random > 0").count() == 0
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
