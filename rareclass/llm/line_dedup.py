@@ -5,8 +5,10 @@ ties. Equal windows select the same line, so any repeated run of that many lines
 selected position: only positions whose hash is selected at two places or more are joined
 further. Their windows are matched on the hashes of their lines with the first place that has
 the same lines, and matched windows side by side grow to maximal runs in both directions.
-Grouped minima are combined before their shuffle and the joins are split by the adaptive skew
-join, so a line that a third of all documents holds costs no pairs.
+On request (``long_words``) fewer lines are a run too once they hold so many words or 8 characters
+for each of these; such windows select themselves. Grouped minima are combined before their
+shuffle and the joins are split by the adaptive skew join, so a line that a third of all
+documents holds costs no pairs.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from rareclass.session import materialize
 
 WINDOW_LINES = 3
+LONG_WORDS = 50
 
 
 def _lined(docs: DataFrame) -> DataFrame:
@@ -26,50 +29,62 @@ def _lined(docs: DataFrame) -> DataFrame:
                 "filter(transform(lines, (x, i) -> struct(i AS at, x AS line)), y -> btrim(y.line, ' \\t\\r\\f') <> '')")))
 
 
-def _windows(docs: DataFrame, wide: int) -> DataFrame:
-    """One row per window: first line, selected line and its hash, and 128 bits of its lines."""
-    hashed = (_lined(docs).where(F.size("full") >= wide)
+def _windows(docs: DataFrame, wide: int, long_words: int | None) -> DataFrame:
+    """One row per window: first line and end, selected line and its hash, and 128 bits of its lines."""
+    hashed = (_lined(docs).where(F.size("full") >= (wide if long_words is None else 1))
               .select("doc_id", "text_key", F.expr("full.line").alias("lines"),
-                      F.expr("transform(full, y -> xxhash64(y.line))").alias("hashes")))
-    each = F.expr(f"""explode(transform(sequence(0, size(lines) - {wide}), i -> struct(
-        i AS start, slice(hashes, i + 1, {wide}) AS h,
-        xxhash64(slice(lines, i + 1, {wide})) AS a, xxhash64('second', slice(lines, i + 1, {wide})) AS b)))""")
+                      F.expr("transform(full, y -> xxhash64(y.line))").alias("hashes"),
+                      F.expr("transform(full, y -> size(split(btrim(y.line, ' \\t\\r\\f'), '\\\\s+')))").alias("words")))
+    starts = "filter(sequence(0, size(lines) - 1), i -> i + {n} <= size(lines){such})"
+    window = """transform({starts}, i -> struct(
+        i AS start, i + {n} AS end, slice(hashes, i + 1, {n}) AS h,
+        xxhash64(slice(lines, i + 1, {n})) AS a, xxhash64('second', slice(lines, i + 1, {n})) AS b))"""
+    kinds = [window.format(n=wide, starts=starts.format(n=wide, such=""))]
+    for n in range(1, wide) if long_words is not None else []:
+        such = f""" AND (aggregate(slice(words, i + 1, {n}), 0, (x, y) -> x + y) >= {long_words}
+            OR aggregate(slice(lines, i + 1, {n}), 0, (x, y) -> x + length(y)) >= {8 * long_words})"""
+        kinds.append(window.format(n=n, starts=starts.format(n=n, such=such)))
+    short = F.col("w.end") - F.col("w.start") < wide
     least = F.array_min("w.h")
-    return (hashed.select("doc_id", "text_key", each.alias("w"))
-            .select("doc_id", "text_key", "w.start", least.alias("selected"),
-                    (F.col("w.start") + wide - F.array_position(F.reverse("w.h"), least).cast("int")).alias("at"),
-                    "w.a", "w.b"))
+    at = (F.col("w.start") + wide - F.array_position(F.reverse("w.h"), least).cast("int"))
+    return (hashed.select("doc_id", "text_key", F.expr(f"explode(concat({', '.join(kinds)}))").alias("w"))
+            .select("doc_id", "text_key", "w.start", "w.end", F.when(short, F.col("w.a")).otherwise(least).alias("selected"),
+                    F.when(short, F.col("w.start")).otherwise(at).alias("at"), "w.a", "w.b"))
 
 
-def repeated_runs(docs: DataFrame, wide: int = WINDOW_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, wide: int = WINDOW_LINES, long_words: int | None = None) -> DataFrame:
     """``(doc_id, text_key, runs)``: per text, its maximal runs of lines that occur earlier.
 
     A run is ``(s, e)`` in non-blank lines, end exclusive. Earlier means a smaller
     ``(doc_id, line)``.
     """
-    windows = materialize(_windows(docs, wide), "line-windows")
+    windows = materialize(_windows(docs, wide, long_words), "line-windows")
     # Fingerprints that are selected at two different places.
     twice = (windows.groupBy("selected").agg(
         F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("at").alias("p0"), F.max("at").alias("p1"))
         .where("d0 < d1 or p0 < p1").select("selected"))
-    met = windows.join(twice, "selected", "left_semi").select("doc_id", "text_key", "start", "a", "b")
+    met = windows.join(twice, "selected", "left_semi").select("doc_id", "text_key", "start", "end", "a", "b")
     first = (met.groupBy("a", "b").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").drop("n"))
-    later = met.join(first, ["a", "b"]).where("struct(doc_id, start) > first").select("doc_id", "text_key", "start").distinct()
+    later = met.join(first, ["a", "b"]).where("struct(doc_id, start) > first")
+    later = later.groupBy("doc_id", "text_key", "start").agg(F.max("end").alias("end"))
     # Neighbouring matches are one run.
     by_text = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    fresh = F.coalesce((F.col("start") > F.lag("start").over(by_text) + wide).cast("int"), F.lit(1))
+    before = F.max("end").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce((F.col("start") > before).cast("int"), F.lit(1))
     runs = (later.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(by_text))
-            .groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("s"), (F.max("start") + wide).alias("e")))
+            .groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("s"), F.max("end").alias("e")))
     return runs.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("runs"))
 
 
-def without_repeated_lines(docs: DataFrame, keep: list[str] | None = None, wide: int = WINDOW_LINES) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, keep: list[str] | None = None, wide: int = WINDOW_LINES,
+                           long_words: int | None = None) -> DataFrame:
     """The columns in ``keep``, ``n_lines``, ``n_removed`` and ``kept`` for every row of ``docs``.
 
     Lines end at ``\\n``; lines of blanks only are not counted, and go only inside a deleted
     run. A run of ``wide`` lines or more that also begins at an earlier ``(doc_id, line)`` is
-    deleted; runs are judged on the input, so of a run that overlaps its own repetition the
+    deleted, and with ``long_words`` also a shorter one of so many words (words end at blanks)
+    or 8 times so many characters; runs are judged on the input, so of a run that overlaps its own repetition the
     lines before the repetition stay. Null texts are empty. Rows without an id are kept whole
     and are no one's earlier document; rows that repeat an id are one place.
     """
@@ -78,7 +93,7 @@ def without_repeated_lines(docs: DataFrame, keep: list[str] | None = None, wide:
                          F.col("doc_id").cast("bigint").alias("doc_id"),
                          F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("text_key", F.xxhash64("text"))
-    runs = repeated_runs(source.select("doc_id", "text_key", "text").where("doc_id is not null"), wide)
+    runs = repeated_runs(source.select("doc_id", "text_key", "text").where("doc_id is not null"), wide, long_words)
     joined = _lined(source.join(runs, ["doc_id", "text_key"], "left"))
     gone = F.expr("transform(runs, r -> struct(full[r.s].at AS s, full[r.e - 1].at + 1 AS e))")
     parts = F.expr("""transform(sequence(0, size(gone)), j -> slice(lines,

@@ -85,6 +85,34 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.without_repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_long_runs_of_one_or_two_lines_equal_brute_force(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    pool = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 5, 24, 25, 26, 49, 50, 51, 125, 20)] + ["", "x" * 399, "x" * 400]
+    rows = [(d, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for d in range(60)]
+    rows += [(d, f"only {d}\n{pool[8]}\nlast {d}") for d in (200, 201)] + [(None, pool[8]), (202, None)]
+
+    def long(lines):
+        return sum(len(x.split()) for x in lines) >= 50 or sum(map(len, lines)) >= 400
+
+    first, gone = {}, {}
+    for judge in (False, True):
+        for k, (doc_id, text) in enumerate(rows):
+            full = [x for x in (text or "").split("\n") if x.strip(" \t\r\f")]
+            for s in range(len(full) if doc_id is not None else 0):
+                for n in (1, 2, 3):
+                    lines = tuple(full[s:s + n])
+                    if len(lines) < n or (n < 3 and not long(lines)):
+                        continue
+                    first[lines] = min(first.get(lines, (doc_id, s)), (doc_id, s))
+                    if judge and first[lines] < (doc_id, s):
+                        gone.setdefault(k, set()).update(range(s, s + n))
+    want = sorted((str(d), len(gone.get(k, ()))) for k, (d, _) in enumerate(rows))
+    got = line_dedup.without_repeated_lines(frame(spark, rows), long_words=50).collect()
+    assert want == sorted((str(r.doc_id), r.n_removed) for r in got)
+    assert {r.doc_id: r.kept for r in got}[201] == "only 201\nlast 201"
+
+
 ODD = [None, "", " ", "\n\t ", "don't I'VE 'll 123abc4, À É! ÀÉß÷", "á ᄀ ᅡ x　y", "<|endoftext|> x",
        "▁ literal ▁▁", "emoji 😀 日本語 \x00 ctl", "  two  spaces ", "w" * 9000, "x y " * 9000]
 
