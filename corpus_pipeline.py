@@ -39,8 +39,11 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each class of near copies stays, on sets of five-word shingles."""
     classes = near_dedup.near_duplicates(docs.select("doc_id", "text"))
     gone = classes.where("not kept").select("doc_id").distinct()
-    # A repeated id is one document: its first row stays.
-    known = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    # A repeated id is one document: a row with the text that near_duplicates judged stays.
+    judged = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    known = (docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").groupBy("doc_id")
+             .agg(F.min(F.struct(judged.alias("judged"), *[c for c in COLUMNS if c != "doc_id"])).alias("row"))
+             .select("doc_id", "row.*"))
     return known.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 

@@ -119,6 +119,18 @@ def test_pipeline_stages(spark, sf):
     assert packed.where("start = 0").count() == len(rows)
 
 
+def test_near_duplicates_keep_the_judged_text_of_an_id(spark, sf):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    rows = [(d, " ".join(f"{v}{d}x{i}" for i in range(12)), "en", "s", 1) for d in range(30) for v in "ab"]
+    docs = spark.createDataFrame(rows, schema)
+    want = {}
+    for d, text, key in docs.selectExpr("doc_id", "text", "xxhash64(text)").collect():
+        want[d] = min(want.get(d, (key, text)), (key, text))
+    got = corpus_pipeline.remove_near_duplicates(spark, docs, sf)
+    assert got.columns == corpus_pipeline.COLUMNS
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted((d, text) for d, (_, text) in want.items())
+
+
 def test_pipeline_runs(spark, sf):
     out = corpus_pipeline.run(spark, sf).collect()
     assert out and all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in out)
