@@ -257,7 +257,8 @@ def _links_between(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
     k, share = config.shingle_words, config.similarity
 
     def run(group: pa.Table) -> pa.Table:
-        text, value = shingle_sets(words(group.column("text"), lower=True), k)
+        # A group is a table, whose columns come in chunks.
+        text, value = shingle_sets(words(group.column("text").combine_chunks(), lower=True), k)
         n = len(group)
         size = np.bincount(text, minlength=n)
         _, code, count = np.unique(value, return_inverse=True, return_counts=True)
