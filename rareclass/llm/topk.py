@@ -1,17 +1,18 @@
 """Exact nearest binary codes by incremental multi-index hashing.
 
-A 64-bit code is cut into segments; a table per segment finds codes by that segment's value.
-Two codes at distance d agree on some segment up to d / segments bits, so once all keys within
-r bits of a query's segments have been looked up, every code at distance up to
-``segments * (r + 1) - 1`` has been met. The radius grows until the k-th distance found lies
+A 64-bit code is cut into segments of about log2(codes) bits; a table per segment finds codes
+by that segment's value. Two codes at distance d agree on some segment up to d / segments bits,
+so once all keys within r bits of a query's segments have been looked up, every code at distance
+up to ``segments * (r + 1) - 1`` has been met. The radius grows until the k-th distance found lies
 within that, query by query. A bounded sample gives a first bound on the k-th distance, which
 the joins use to keep only codes that can still count.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
@@ -27,16 +28,29 @@ BITS = 64
 
 @dataclass(frozen=True)
 class TopKConfig:
-    """``sample`` codes give the first bound; it affects the work and not the result."""
+    """``sample`` codes give the first bound; it and ``segments`` affect the work and not the result.
+
+    Without ``segments`` their number follows from the number of codes, so that a key of one
+    segment is met by about one code. Three are the fewest: the keys of a query with no near
+    code at all grow with the segment's bits, and 22 of them have at most 705,432 at a radius.
+    """
 
     k: int = 10
-    segments: int = 4
+    segments: int | None = None
     sample: int = 2048
     seed: int = 3
 
+    def sized(self, codes: int) -> TopKConfig:
+        return self if self.segments else replace(self, segments=max(3, round(BITS / math.log2(max(codes, 2) + 2))))
+
     @property
-    def segment_bits(self) -> int:
-        return BITS // self.segments
+    def edges(self) -> list[int]:
+        """First bit of every segment, and the number of bits."""
+        return [BITS * i // self.segments for i in range(self.segments + 1)]
+
+    @property
+    def longest(self) -> int:
+        return -(-BITS // self.segments)
 
 
 def sign_codes(vectors: DataFrame) -> DataFrame:
@@ -52,10 +66,9 @@ def sign_codes(vectors: DataFrame) -> DataFrame:
 
 def _keys(codes: np.ndarray, config: TopKConfig) -> np.ndarray:
     """Segment values with the segment's number above them, one column per segment."""
-    width = config.segment_bits
-    shift = np.arange(config.segments, dtype=np.uint64) * np.uint64(width)
-    value = (codes.view(np.uint64)[:, None] >> shift) & np.uint64((1 << width) - 1)
-    return value.astype(np.int64) | (np.arange(config.segments) << width)
+    edges = np.array(config.edges, dtype=np.uint64)
+    value = (codes.view(np.uint64)[:, None] >> edges[:-1]) & ((np.uint64(1) << np.diff(edges)) - np.uint64(1))
+    return value.astype(np.int64) | (np.arange(config.segments) << 48)
 
 
 def _table(codes: DataFrame, config: TopKConfig) -> DataFrame:
@@ -71,20 +84,28 @@ def _table(codes: DataFrame, config: TopKConfig) -> DataFrame:
 
 
 def _probes(queries: DataFrame, radius: int, config: TopKConfig) -> DataFrame:
-    """``(key, query, bound)``: all keys at exactly ``radius`` bits from each query's segments."""
-    flips = np.array([sum(1 << b for b in chosen) for chosen in combinations(range(config.segment_bits), radius)],
-                     dtype=np.int64)
+    """``(key, query, bound)``: the keys at exactly ``radius`` bits from each query's segments.
+
+    A code within ``bound`` bits that no smaller radius has met agrees up to ``radius`` bits on
+    one of the segments ``j`` with ``segments * radius + j <= bound``; the others are not asked.
+    """
+    edges = config.edges
+    flips = [np.array([sum(1 << b for b in chosen) for chosen in combinations(range(high - low), radius)], dtype=np.int64)
+             for low, high in zip(edges, edges[1:])]
+    widest = sum(map(len, flips))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = max(1, (1 << 20) // (len(flips) * config.segments))
+            rows = max(1, (1 << 20) // max(1, widest))
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                key = _keys(part.column("query").to_numpy(), config)[:, :, None] ^ flips
-                each = np.repeat(np.arange(part.num_rows), key[0].size)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.ravel()), part.column("query").take(pa.array(each)),
-                     part.column("bound").take(pa.array(each))], names=["key", "query", "bound"])
+                own, bound = _keys(part.column("query").to_numpy(), config), part.column("bound").to_numpy()
+                for j, flip in enumerate(flips):
+                    asked = np.flatnonzero(config.segments * radius + j <= bound)
+                    each = pa.array(np.repeat(asked, len(flip)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((own[asked, j][:, None] ^ flip).ravel()), part.column("query").take(each),
+                         part.column("bound").take(each)], names=["key", "query", "bound"])
 
     return queries.select("query", "bound").mapInArrow(run, "key bigint, query bigint, bound int")
 
@@ -127,10 +148,12 @@ def exact_top_k(base: DataFrame, queries: DataFrame, config: TopKConfig = TopKCo
                       dtype=np.int64)
     queries = queries.distinct()
     active = materialize(_first_bounds(queries.select(F.col("code").alias("query")).distinct(), sample, need), "bounds")
+    config = config.sized(index.count())
     table = materialize(_table(index, config), "segments")
     best, done = None, []
-    for radius in range(config.segment_bits + 1):
-        met = (_probes(active, radius, config).join(table, "key")
+    for radius in range(config.longest + 1):
+        # Probes are many times the rows that the planner expects, so they are never broadcast.
+        met = (_probes(active, radius, config).hint("merge").join(table, "key")
                .where("bit_count(query ^ code) <= bound").select("query", "code").distinct())
         met = met.join(index, "code").select(
             "query", F.expr("cast(bit_count(query ^ code) as int)").alias("distance"), F.explode("ids").alias("id"))

@@ -22,11 +22,11 @@ def nearest(base, queries, k):
     return out
 
 
-@pytest.mark.parametrize("segments", [4, 8])
+@pytest.mark.parametrize("segments", [4, 7, 8, None])
 def test_top_k_equals_brute_force(spark, segments):
     import random
 
-    rng = random.Random(segments)
+    rng = random.Random(segments or 1)
     centres = [rng.getrandbits(64) - (1 << 63) for _ in range(6)]
     base = [(i, rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4)))) for i in range(300)]
     base += [(1000 + i, centres[0]) for i in range(60)] + [(None, 5), (5000, None), base[0]]
