@@ -209,7 +209,7 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
     """
     size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
-    return (members.join(size, "bucket").withColumn("own", own)
+    return (members.join(size.hint("merge"), "bucket").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
             .drop("blocks", "other"))
@@ -316,7 +316,8 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     # Leaders: every bucket links its members to its least and its greatest node.
     bands = band_rows(nodes, config).drop("component")
     ends = bands.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
-    pairs = (bands.join(ends, "bucket").select("node", F.explode(F.array("a", "b")).alias("leader"))
+    # A node has many band keys, of which the planner knows nothing: neither side is broadcast.
+    pairs = (bands.join(ends.hint("merge"), "bucket").select("node", F.explode(F.array("a", "b")).alias("leader"))
              .where("node != leader").select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v"))
              .distinct())
     pairs = materialize(pairs, "pairs")
@@ -332,7 +333,7 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     bands = band_rows(labelled, config)
     mixed = (bands.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a < b").select("bucket"))
-    rest = materialize(_dealt(bands.join(mixed, "bucket"), config.block), "rest")
+    rest = materialize(_dealt(bands.join(mixed.hint("merge"), "bucket"), config.block), "rest")
     open_rows = materialize(_undecided(rest.join(labelled.select("node", "minima"), "node"), config), "undecided")
     more = materialize(_links_between(open_rows.join(
         texts.withColumnRenamed("doc_id", "node"), "node"), config), "links")
