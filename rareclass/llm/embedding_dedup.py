@@ -133,7 +133,7 @@ def _near_cells(cells: DataFrame, config: EmbeddingConfig) -> DataFrame:
     index = _keys(cells, config, False).withColumnRenamed("code", "code_u")
     probes = _keys(cells, config, True).withColumnRenamed("code", "code_v")
     label = cells.schema["label"].dataType.simpleString()
-    met = index.join(probes, ["label", "key"]).where("code_u != code_v")
+    met = index.hint("merge").join(probes, ["label", "key"]).where("code_u != code_v")
     ordered = met.select("label", F.least("code_u", "code_v").alias("code_u"), F.greatest("code_u", "code_v").alias("code_v"))
     return ordered.mapInArrow(run, f"label {label}, code_u binary, code_v binary").distinct()
 
