@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareclass.llm import embedding_dedup, line_dedup, near_dedup, packing, revisits, secrets, sentence_pieces, substring_dedup, topk, toxicity
+from rareclass.llm import (
+    conversation_trie, embedding_dedup, line_dedup, manifest, mixing, near_dedup, packing, revisits, secrets, sentence_pieces,
+    substring_dedup, topk, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -223,3 +225,134 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = revisits.resolve_revisits(capture_records(table(spark, sf_dir, "pages")))
     lines = F.transform("headers", lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
+# CRC-32 of a decimal number: one step per bit of its characters.
+CRC32_SQL = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(CAST({0} AS VARCHAR), ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END)"""
+
+OP11_SQL = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, xor(""" + CRC32_SQL.format("doc_id") + r""", 4294967295) % 7 = 0 AS tampered,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS front,
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n0,
+    coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-') AS n1,
+    coalesce(strlen(text) || ':' || text, '-') AS back
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(front || n0 || back) AS leaf, CASE WHEN tampered THEN sha256(front || n1 || back) END AS changed FROM f),
+parts AS (SELECT lang, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS part, count(*) AS n FROM leaves GROUP BY lang),
+placed AS (
+  SELECT l.*, p.part, p.n, row_number() OVER (PARTITION BY p.part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves l JOIN parts p ON l.lang IS NOT DISTINCT FROM p.lang),
+low AS (
+  SELECT part, 0 AS level, place AS node, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT part, level + 1, node // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY node)) FROM low WHERE n > 1
+  GROUP BY part, level, node // 2, n),
+high AS (
+  SELECT 0 AS level, part AS node, (SELECT count(*) FROM parts) AS n, h FROM low WHERE n = 1
+  UNION ALL
+  SELECT level + 1, node // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY node)) FROM high WHERE n > 1
+  GROUP BY level, node // 2, n),
+tree AS (
+  SELECT part, level, node, n, h FROM low UNION ALL
+  SELECT NULL, level, node, n, h FROM high),
+way AS (
+  SELECT part AS own, place, part, 0 AS level, place AS node, '' AS proof, coalesce(changed, leaf) AS h, false AS done FROM placed
+  UNION ALL
+  SELECT w.own, w.place,
+    CASE WHEN t.n = 1 THEN NULL ELSE w.part END, CASE WHEN t.n = 1 THEN 0 ELSE w.level + 1 END,
+    CASE WHEN t.n = 1 THEN w.own ELSE w.node // 2 END, w.proof || CASE WHEN t.n = 1 THEN '' ELSE coalesce(s.h, '') END,
+    CASE WHEN t.n = 1 THEN w.h WHEN s.h IS NULL THEN sha256(w.h) WHEN w.node % 2 = 0 THEN sha256(w.h || s.h) ELSE sha256(s.h || w.h) END,
+    t.n = 1 AND w.part IS NULL
+  FROM way w JOIN tree t ON t.part IS NOT DISTINCT FROM w.part AND t.level = w.level AND t.node = w.node
+  LEFT JOIN tree s ON s.part IS NOT DISTINCT FROM w.part AND s.level = w.level AND s.node = xor(w.node, 1)
+  WHERE NOT w.done)
+SELECT p.doc_id, p.leaf, l.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = r.h AS verified
+FROM placed p JOIN way w ON w.own = p.part AND w.place = p.place AND w.done
+JOIN low l ON l.part = p.part AND l.n = 1 JOIN high r ON r.n = 1
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the manifest of all, and the root of its tampered version."""
+    return manifest.manifest(manifest.document_leaves(table(spark, sf_dir, "documents")))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, (xor(""" + CRC32_SQL.format("conv_id") + r""", 4294967295) % 6)::BIGINT AS h FROM t),
+c AS (
+  SELECT h.conv_id, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts
+  FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, len(ts)::BIGINT AS total, unnest(range(0, len(ts) + 1)) AS depth, ts FROM c),
+k AS (SELECT conv_id, total, depth, ts[1:depth] AS seq, CASE WHEN depth > 0 THEN ts[1:depth - 1] END AS up FROM p),
+n AS (
+  SELECT depth, seq, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(total) = depth AS leaf,
+    (count(*) - 1) * CASE WHEN depth > 0 THEN length(seq[depth].t) ELSE 0 END AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends_sha256
+  FROM k GROUP BY depth, seq),
+s AS (
+  SELECT a.depth, a.seq, sum(b.leaf::BIGINT)::BIGINT AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens
+  FROM n a JOIN n b ON b.depth >= a.depth AND b.seq[1:a.depth] = a.seq GROUP BY ALL),
+ch AS (SELECT up AS seq, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0)::BIGINT AS n_children,
+  s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.seq = n.seq LEFT JOIN ch ON ch.seq = n.seq LEFT JOIN n u ON u.seq = n.up AND u.depth = n.depth - 1
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt on their families' first turns."""
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> ''))::BIGINT AS size,
+    (('0x' || substr(md5('13:' || coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+      / 4503599627370496 AS draw
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, sum(size)::BIGINT * 2 AS lim,
+    [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1] AS weight
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, lim::DOUBLE / weight AS turn, (SELECT sum(source_size) FROM s)::DOUBLE * 150 / 100
+      - (sum(lim) OVER o - lim)::DOUBLE AS rest,
+    (SELECT sum(weight) FROM s) - (sum(weight) OVER o - weight) AS left_weight
+  FROM s WINDOW o AS (ORDER BY lim::DOUBLE / weight, source IS NULL, encode(source))),
+l AS (SELECT arg_min(rest / left_weight::DOUBLE, turn) AS level FROM w WHERE turn > rest / left_weight::DOUBLE),
+g AS (SELECT source, source_size, least(lim::DOUBLE, coalesce(level * weight, lim::DOUBLE)) AS target FROM w, l),
+r AS (
+  SELECT d.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS copies
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+c AS (SELECT *, copies - floor(copies) AS chance FROM r),
+q AS (
+  SELECT *, CASE WHEN chance > 0 THEN draw / (1 - draw) / (chance / (1 - chance)) ELSE 'inf'::DOUBLE END AS rank,
+    sum(chance * size) OVER (PARTITION BY source) AS budget FROM c),
+o AS (
+  SELECT *, row_number() OVER x AS place, sum(size) OVER x AS run FROM q
+  WINDOW x AS (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size, draw ROWS UNBOUNDED PRECEDING)),
+i AS (SELECT *, chance > 0 AND 2 * run - size < 2 * budget AS inside FROM o),
+gap AS (SELECT *, budget - sum(CASE WHEN inside THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM i),
+e AS (
+  SELECT source, arg_min(place, {'a': abs(gap - size), 'b': place}) AS closing FROM gap
+  WHERE NOT inside AND chance > 0 AND size > 0 AND abs(gap - size) < abs(gap) GROUP BY source)
+SELECT gap.doc_id, gap.size, gap.source_size, gap.target,
+  gap.size * (floor(copies)::BIGINT + CASE WHEN inside OR place = e.closing THEN 1 ELSE 0 END) AS taken
+FROM gap LEFT JOIN e ON gap.source IS NOT DISTINCT FROM e.source
+"""
+
+
+@query("op13_source_mixing", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources, half as large again as all documents, takes of each document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))

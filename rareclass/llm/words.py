@@ -46,6 +46,11 @@ class _Powers:
 _UP, _DOWN = _Powers(_BASE), _Powers(_INVERSE)
 
 
+def powers(n: int, down: bool = False) -> np.ndarray:
+    """The first ``n`` powers of the base of all sequence hashes, or of its inverse, modulo 2**64."""
+    return (_DOWN if down else _UP).upto(n)
+
+
 class RangeHash:
     """Hash of any range of a sequence in constant time, equal for equal contents."""
 
