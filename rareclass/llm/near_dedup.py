@@ -33,7 +33,8 @@ class NearDedupConfig:
 
     With 32 bands of 5 minima a pair at the limit of 80 % shares no band with probability
     3e-6, and ``slack`` leaves five standard deviations to the signature check.
-    ``block`` is the number of texts that one group of the last step compares with as many.
+    A group of the last step compares ``block`` texts, or fewer if they hold ``block_shingles``
+    shingles together, with as many others.
     """
 
     shingle_words: int = 5
@@ -41,7 +42,8 @@ class NearDedupConfig:
     bands: int = 32
     rows: int = 5
     slack: float = 5.0
-    block: int = 1024
+    block: int = 512
+    block_shingles: int = 1 << 18
     seed: int = 7
 
     @property
@@ -136,7 +138,8 @@ def band_keys(minima: np.ndarray, config: NearDedupConfig) -> np.ndarray:
 
 
 def band_rows(nodes: DataFrame, config: NearDedupConfig) -> DataFrame:
-    """``(bucket, node, component)``: the band keys of ``(node, component, minima)``."""
+    """``(bucket, node, component, n_shingles)``: the band keys of ``(node, component, n_shingles, minima)``."""
+    carried = ["node", "component", "n_shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,12 +148,11 @@ def band_rows(nodes: DataFrame, config: NearDedupConfig) -> DataFrame:
             key = band_keys(np.frombuffer(b"".join(batch.column("minima").to_pylist()), dtype=np.uint32), config)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.ravel().view(np.int64)),
-                 pa.array(np.repeat(batch.column("node").to_numpy(), config.bands)),
-                 pa.array(np.repeat(batch.column("component").to_numpy(), config.bands))],
-                names=["bucket", "node", "component"])
+                 *[pa.array(np.repeat(batch.column(c).to_numpy(), config.bands)) for c in carried]],
+                names=["bucket", *carried])
 
-    return nodes.select("node", "component", "minima").mapInArrow(
-        run, "bucket bigint, node bigint, component bigint")
+    return nodes.select(*carried, "minima").mapInArrow(
+        run, "bucket bigint, node bigint, component bigint, n_shingles bigint")
 
 
 def alike(pairs: DataFrame, nodes: DataFrame, config: NearDedupConfig) -> DataFrame:
@@ -202,17 +204,18 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
                        .dropDuplicates(["doc_id"]), "texts")
 
 
-def _dealt(members: DataFrame, block: int) -> DataFrame:
-    """Members of each bucket in pairs of blocks ``(i, j)`` of about ``block`` nodes.
+def _dealt(members: DataFrame, config: NearDedupConfig) -> DataFrame:
+    """Members of each bucket in pairs of blocks ``(i, j)``, bounded by their number and their shingles.
 
     A node goes to its own block's pairs only, so a large bucket is spread over many groups.
     """
-    size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    size = members.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / config.block), F.ceil(F.sum("n_shingles") / config.block_shingles)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
     return (members.join(size.hint("merge"), "bucket").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-            .drop("blocks", "other"))
+            .drop("blocks", "other", "n_shingles"))
 
 
 def _across(group: pa.Table) -> np.ndarray:
@@ -239,15 +242,28 @@ def _undecided(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
         for band in range(here):
             ask &= keys[:, band][:, None] != keys[:, band][None, :]
         hit = np.zeros(len(group), dtype=bool)
-        for row in np.flatnonzero(ask.any(axis=1)):
-            with_row = np.flatnonzero(ask[row])
-            hit[row] = ((minima[with_row] == minima[row]).sum(axis=1) >= least).any()
+        u, v = np.nonzero(np.triu(ask))
+        for at in range(0, len(u), _BLOCK):
+            a, b = u[at:at + _BLOCK], v[at:at + _BLOCK]
+            close = (minima[a] == minima[b]).sum(axis=1) >= least
+            hit[a[close]] = hit[b[close]] = True
         return group.select(["bucket", "i", "j", "own", "node", "component"]).filter(pa.array(hit))
 
     return dealt.groupBy("bucket", "i", "j").applyInArrow(
         run, "bucket bigint, i int, j int, own int, node bigint, component bigint")
 
 
+def _group_shingles(column: pa.ChunkedArray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of a group's texts, read in bounded pieces."""
+    texts, values, row = [], [], 0
+    for piece in pieces(pa.table({"text": column}).to_batches(), "text"):
+        text, value = shingle_sets(words(piece.column("text"), lower=True), k)
+        texts.append(text + row)
+        values.append(value)
+        row += piece.num_rows
+    return np.concatenate(texts), np.concatenate(values)
+
+
 def _links_between(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
     """Confirmed links ``(u, v)`` of rows of ``_dealt`` (with texts), enough to merge components.
 
@@ -257,8 +273,7 @@ def _links_between(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
     k, share = config.shingle_words, config.similarity
 
     def run(group: pa.Table) -> pa.Table:
-        # A group is a table, whose columns come in chunks.
-        text, value = shingle_sets(words(group.column("text").combine_chunks(), lower=True), k)
+        text, value = _group_shingles(group.column("text"), k)
         n = len(group)
         size = np.bincount(text, minlength=n)
         _, code, count = np.unique(value, return_inverse=True, return_counts=True)
@@ -308,13 +323,13 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     # One node per distinct set, named by its least id; copies hang on it.
     sets = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"))
     named = materialize(full.join(sets, ["set_a", "set_b", "n_shingles"]).select(
-        "doc_id", "node", F.when(F.expr("doc_id = node"), F.col("minima")).alias("minima")), "named")
+        "doc_id", "node", "n_shingles", F.when(F.expr("doc_id = node"), F.col("minima")).alias("minima")), "named")
     copies = named.where("doc_id != node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    nodes = named.where("minima is not null").select("node", F.col("node").alias("component"), "minima")
+    nodes = named.where("minima is not null").select("node", F.col("node").alias("component"), "n_shingles", "minima")
     nodes = nodes.dropDuplicates(["node"])
 
     # Leaders: every bucket links its members to its least and its greatest node.
-    bands = band_rows(nodes, config).drop("component")
+    bands = band_rows(nodes, config).drop("component", "n_shingles")
     ends = bands.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     # A node has many band keys, of which the planner knows nothing: neither side is broadcast.
     pairs = (bands.join(ends.hint("merge"), "bucket").select("node", F.explode(F.array("a", "b")).alias("leader"))
@@ -329,11 +344,11 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
 
     # The rest: buckets that still hold several components, compared block by block.
     labelled = materialize(nodes.drop("component").join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")).select("node", "component", "minima"), "labelled")
+        "component", F.coalesce("component", "node")).select("node", "component", "n_shingles", "minima"), "labelled")
     bands = band_rows(labelled, config)
     mixed = (bands.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a < b").select("bucket"))
-    rest = materialize(_dealt(bands.join(mixed.hint("merge"), "bucket"), config.block), "rest")
+    rest = materialize(_dealt(bands.join(mixed.hint("merge"), "bucket"), config), "rest")
     open_rows = materialize(_undecided(rest.join(labelled.select("node", "minima"), "node"), config), "undecided")
     more = materialize(_links_between(open_rows.join(
         texts.withColumnRenamed("doc_id", "node"), "node"), config), "links")
