@@ -86,6 +86,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def covered(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Maximal stretches ``(start, end)`` of sorted spans."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
 class Scanner:
     def __init__(self, config: SecretConfig):
         import tiktoken
@@ -95,11 +106,14 @@ class Scanner:
         self.encoding = tiktoken.Encoding("secrets", pat_str=config.pattern, mergeable_ranks=ranks, special_tokens={})
         self.config, self.pattern = config, _candidates(config.least)
 
-    def random_spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Random strings that no base span overlaps."""
-        found = []
+    def random_spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """Random strings, but for those that lie in stretches of base spans (sorted) as a whole."""
+        found, stretches, at = [], covered(base), 0
         for m in self.pattern.finditer(text):
-            if len(m[0]) < self.config.least_word and _ONE_CASE.fullmatch(m[0]) or _excluded(m[0]) or any(m.start() < end and start < m.end() for start, _, end in taken):
+            while at < len(stretches) and stretches[at][1] < m.end():
+                at += 1
+            inside = at < len(stretches) and stretches[at][0] <= m.start()
+            if inside or len(m[0]) < self.config.least_word and _ONE_CASE.fullmatch(m[0]) or _excluded(m[0]):
                 continue
             if len(m[0]) < self.config.ratio * len(self.encoding.encode_ordinary(m[0])):
                 found.append((m.start(), 3, m.end()))
@@ -130,8 +144,6 @@ def redacted(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]
     return "".join([*out, text[at:]])
 
 
-
-
 def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -> DataFrame:
     """Counts, spans and the redacted text of every row, beside the columns in ``keep``.
 
