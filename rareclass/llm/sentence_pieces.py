@@ -99,11 +99,15 @@ class Vocabulary:
         if not text:
             return np.zeros(0, dtype="<u4")
         units = _UNIT.findall(" " + text)
-        for unit in set(units).difference(self.known):
-            if len(self.known) >= self.limit:
-                self.known = {u: self.known[u] for u in units if u in self.known}
-            self.known[unit] = self.solve(unit)
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, units)), dtype="<u4")
+        distinct = set(units)
+        new = {unit: self.solve(unit) for unit in distinct.difference(self.known)}
+        if len(self.known) + len(new) <= self.limit:
+            self.known.update(new)
+            found = self.known
+        else:  # start anew with the units of this text, if they fit
+            found = new | {unit: self.known[unit] for unit in distinct.difference(new)}
+            self.known = found if len(found) <= self.limit else {}
+        return np.fromiter(chain.from_iterable(map(found.__getitem__, units)), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; it undoes :meth:`encode` exactly."""
