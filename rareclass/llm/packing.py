@@ -76,7 +76,8 @@ class WordTokens:
     A tokenizer that splits at white space before anything else gives a text the ids of its
     words one after the other, so each distinct word is encoded once. Plain words skip the
     tokenizer's normalizer and splitter, whose outcome is known for them, and go to its model.
-    The cache starts anew when it holds ``limit`` words. Any other tokenizer gets whole texts.
+    When the cache holds ``limit`` words, those met in most pieces of text stay, half of them at
+    most. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, limit: int):
@@ -97,6 +98,7 @@ class WordTokens:
         self.recent: dict[int, int] = {}
         self.parts: dict[str, tuple[int, ...]] = {"": ()}
         self.first, self.count, self.ids = _Grown(np.int64), _Grown(np.int64), _Grown(np.uint32)
+        self.met = _Grown(np.int32)  # pieces of text that held the word
 
     def _word_ids(self, texts: list[str]) -> list[tuple[int, ...]]:
         """Ids of each word."""
@@ -116,6 +118,7 @@ class WordTokens:
         self.recent.update(zip(hashes, range(self.first.size, self.first.size + len(new))))
         self.first.add(self.ids.size + np.cumsum(count) - count)
         self.count.add(count)
+        self.met.add(np.zeros(len(new), dtype=np.int32))
         self.ids.add(np.fromiter(itertools.chain.from_iterable(new), dtype=np.uint32, count=int(count.sum())))
 
     def _place(self, w, distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -131,13 +134,33 @@ class WordTokens:
             data = w.data.tobytes()
             self._learn([key for key, _ in new], [data[w.start[at[i]]:w.end[at[i]]].decode() for _, i in new])
         place[rest] = [self.recent[key] for key in keys]
+        self.met.data[place] += 1
         if len(self.recent) > _RECENT:
-            keys = np.concatenate([self.keys, np.fromiter(self.recent, dtype=np.uint64)])
-            places = np.concatenate([self.places, np.fromiter(self.recent.values(), dtype=np.int64)])
-            order = np.argsort(keys)
-            self.keys, self.places, self.recent = keys[order], places[order], {}
+            self._merge()
         return place
 
+    def _merge(self) -> None:
+        """Recent words join those kept in order."""
+        keys = np.concatenate([self.keys, np.fromiter(self.recent, dtype=np.uint64, count=len(self.recent))])
+        places = np.concatenate([self.places, np.fromiter(self.recent.values(), dtype=np.int64, count=len(self.recent))])
+        order = np.argsort(keys)
+        self.keys, self.places, self.recent = keys[order], places[order], {}
+
+    def _shrink(self) -> None:
+        """Words that only one piece held go, and of the others the rarest beyond half of the limit."""
+        self._merge()
+        met, half = self.met.data[self.places], self.limit // 2
+        least = 2 if (met > 1).sum() <= half else int(np.partition(met, len(met) - half)[len(met) - half]) + 1
+        stay = met >= least
+        keys, old = self.keys[stay], self.places[stay]
+        first, count, ids, met = self.first.data[old], self.count.data[old], self.ids.data, met[stay]
+        begin = np.cumsum(count) - count
+        ids = ids[np.repeat(first - begin, count) + np.arange(int(count.sum()))]
+        self._clear()
+        self.keys, self.places = keys, np.arange(len(keys))
+        for grown, values in ((self.first, begin), (self.count, count), (self.ids, ids), (self.met, met >> 1)):
+            grown.add(values)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins (one more than there are texts)."""
         if not self.by_word:
@@ -146,7 +169,7 @@ class WordTokens:
             return (np.array([i for x in found for i in x], dtype=np.uint32),
                     np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64))
         if self.first.size > self.limit:
-            self._clear()
+            self._shrink()
         w = words(column)
         distinct, at, code = np.unique(w.hash, return_index=True, return_inverse=True)
         place = self._place(w, distinct, at)[code]
