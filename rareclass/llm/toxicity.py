@@ -25,7 +25,8 @@ from rareclass.session import materialize
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """``max_rows`` bounds the labelled rows of a fit; larger label tables are sampled by hash.
+    """``max_rows`` bounds the labelled rows of a fit; larger label tables are sampled by hash, class by
+    class, so that a rare class gives up to half of the rows.
 
     The regression takes the ``fitted_features`` n-grams whose log-count ratio stands out most
     for how often they occur. Its penalty is on absolute weights: most n-grams get none, so that
@@ -109,10 +110,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, config: ToxicityConfig) ->
     known = (labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    chosen = hash_sample(known.join(ids, "doc_id"), config.max_rows, config.seed, "doc_id")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    # The sample has max_rows rows of two numbers at most.
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
+    known = materialize(known.join(ids, "doc_id").where("toxic in (0, 1)"), "toxic-labels")
+    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    half = config.max_rows // 2
+    shares = {c: min(counts.get(c, 0), max(half, config.max_rows - counts.get(1 - c, 0))) for c in (0, 1)}
+    chosen = None
+    for c, n in shares.items():
+        part = hash_sample(known.where(F.col("toxic") == c), n, config.seed, "doc_id") if n else known.where("false")
+        chosen = part if chosen is None else chosen.union(part)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # The sample has max_rows rows of two numbers at most; of an id that repeats the least text counts.
+    return (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+            .agg(F.first("toxic").alias("toxic"), F.min(F.coalesce("text", F.lit(""))).alias("text")).select("toxic", "text"))
 
 
 def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityModel:
@@ -142,9 +151,11 @@ def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityM
         inside = at >= 0
         return Vectors.sparse(size, at[inside], kept[at[inside]] * np.array(counts)[inside])
 
+    # Written once, so that no iteration calls Python again.
+    vectors = materialize(seen.select(F.col("toxic").cast("double").alias("label"),
+                                      scaled("places", "counts").alias("features")), "toxic-vectors")
     fitted = LogisticRegression(maxIter=config.iterations, regParam=config.regularisation, elasticNetParam=1.0,
-                                standardization=False).fit(
-        seen.select(F.col("toxic").cast("double").alias("label"), scaled("places", "counts").alias("features")))
+                                standardization=False).fit(vectors)
     weights = np.zeros(config.dimension)
     weights[chosen] = fitted.coefficients.toArray() * kept
     return ToxicityModel(config, weights, float(fitted.intercept))
@@ -181,8 +192,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = Toxici
 
     The model learns from labels of documents that are not held out. Null and empty texts get
     the score of no words. Without labels of both classes the score is one rate for all rows.
-    Rows with a null id are scored and never learned from; rows that repeat an id are learned
-    from once.
+    Rows with a null id are scored and never learned from; of rows that repeat an id the least
+    text is learned from. Labels other than 0 and 1 teach nothing.
     """
     known = labels.where(~held_out(F.col("doc_id")))
     model = fit(training_rows(docs, known, config), config)
