@@ -2,15 +2,17 @@
 
 A bounded sample teaches rotations that give balanced binary codes with little quantisation
 error. Vectors with one code form a cell; cells meet in tables over segments of the code, of
-which one side also tries every key one bit away. Cells near enough in Hamming distance are
+which one side also tries every key a few bits away. Cells near enough in Hamming distance are
 compared on their original vectors, block against block, inside a task: what leaves it are
 counts per vector and links enough to merge components, never the pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,38 +28,65 @@ from rareclass.session import materialize
 class EmbeddingConfig:
     """``sample_rows`` bounds the vectors that the rotations are learned from.
 
-    At cosine 0.93 a bit differs with probability 0.12: some of eight 16-bit segments then
-    differs in one bit at most with probability 0.997, and in more for nearer vectors.
-    ``radius`` is six standard deviations above the mean distance of such pairs.
+    A length of which the sample holds fewer than ``least_learned`` vectors gets random directions.
+    ``radius`` is six standard deviations above the mean distance of the codes of such pairs.
+
+    Without ``segments`` their number, and the bits that may differ within one, follow from the
+    number of cells: at cosine 0.93 a bit differs with probability 0.12, and of all choices by
+    which some segment is met with probability ``recall`` the one with the fewest probes and
+    chance meetings is taken.
     """
 
     cosine: float = 0.93
     rotations: int = 2
-    segment_bits: int = 16
+    segments: int | None = None
+    probed_bits: int = 1
+    recall: float = 0.99
     radius: int = 40
     sample_rows: int = 8192
+    least_learned: int = 64
     rounds: int = 50
     block: int = 256
     seed: int = 5
 
+    @property
+    def edges(self) -> list[int]:
+        """First bit of every segment, and the number of bits."""
+        return [64 * self.rotations * i // self.segments for i in range(self.segments + 1)]
+
+    def sized(self, cells: int) -> EmbeddingConfig:
+        if self.segments:
+            return self
+        differs, bits, best = math.acos(self.cosine) / math.pi, 64 * self.rotations, None
+        for segments in range(bits // 32, bits // 8 + 1):
+            width, met, probes = bits // segments, 0.0, 0
+            for probed in range(width + 1):
+                met += math.comb(width, probed) * differs ** probed * (1 - differs) ** (width - probed)
+                probes += math.comb(width, probed)
+                if 1 - (1 - met) ** segments >= self.recall:
+                    break
+            cost = segments * probes * (1 + cells / 2 ** width)
+            if best is None or cost < best[0]:
+                best = cost, segments, probed
+        return replace(self, segments=best[1], probed_bits=best[2])
+
 
 def valid_vectors(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, label, embedding)`` of rows that can link at all, one per id."""
+    """``(vec_id, label, embedding)`` of rows that can link at all, one per id.
+
+    From here on the vector's length is part of its label, as only equal lengths can link. Of an
+    id that repeats the row with the least (label, vector) stays.
+    """
     return (vectors.select(F.col("vec_id").cast("bigint"), "label", F.col("embedding").cast("array<double>"))
             .where("vec_id is not null and label is not null and embedding is not null and size(embedding) > 0")
             .where("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
-            .where("exists(embedding, x -> x <> 0)").dropDuplicates(["vec_id"]))
+            .where("exists(embedding, x -> x <> 0)").groupBy("vec_id")
+            .agg(F.min(F.struct("label", "embedding")).alias("one"))
+            .select("vec_id", F.expr("struct(one.label, size(one.embedding) AS size)").alias("label"), "one.embedding"))
 
 
-def learn_rotations(vectors: DataFrame, config: EmbeddingConfig) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projections): ITQ on a sample of at most ``sample_rows`` vectors of the usual length."""
-    rows = hash_sample(vectors, config.sample_rows, config.seed, "vec_id").select("embedding").toPandas()["embedding"]
-    sizes = rows.map(len)
-    if not len(rows):
-        return np.zeros(1), np.zeros((1, 64 * config.rotations))
-    usual = int(sizes.mode()[0])
-    x = np.array(rows[sizes == usual].tolist())
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+def _turned(x: np.ndarray, config: EmbeddingConfig) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projections) by ITQ on unit vectors of one length."""
     mean = x.mean(axis=0)
     x = x - mean
     _, axes = np.linalg.eigh(x.T @ x)
@@ -69,50 +98,73 @@ def learn_rotations(vectors: DataFrame, config: EmbeddingConfig) -> tuple[np.nda
         for _ in range(config.rounds):
             u, _, v = np.linalg.svd(np.where(low @ turn > 0, 1.0, -1.0).T @ low)
             turn = (u @ v).T
-        part = np.zeros((usual, 64))
+        # Vectors shorter than a code get the missing bits from random directions.
+        part = rng.normal(size=(x.shape[1], 64)) / math.sqrt(x.shape[1])
         part[:, :low.shape[1]] = axes @ turn
         parts.append(part)
     return mean, np.concatenate(parts, axis=1)
 
 
-def encode(vectors: DataFrame, mean: np.ndarray, projection: np.ndarray) -> DataFrame:
-    """``(vec_id, label, vector, code)``: doubles and codes as bytes; other lengths are left out."""
+def learn_rotations(vectors: DataFrame, config: EmbeddingConfig) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(mean, projections) per vector length, from a sample of at most ``sample_rows`` vectors."""
+    rows = hash_sample(vectors, config.sample_rows, config.seed, "vec_id").select("embedding").toPandas()["embedding"]
+    found = {}
+    for size, some in rows.groupby(rows.map(len)):
+        x = np.array(some.tolist())
+        if len(x) >= config.least_learned:
+            found[int(size)] = _turned(x / np.linalg.norm(x, axis=1, keepdims=True), config)
+    return found
+
+
+def _projection(size: int, learned: dict, config: EmbeddingConfig) -> tuple[np.ndarray, np.ndarray]:
+    """What was learned for a length, or random directions for one that the sample hardly holds."""
+    if size not in learned:
+        rng = np.random.default_rng((config.seed, size))
+        learned[size] = np.zeros(size), rng.normal(size=(size, 64 * config.rotations))
+    return learned[size]
+
+
+def encode(vectors: DataFrame, learned: dict[int, tuple[np.ndarray, np.ndarray]], config: EmbeddingConfig) -> DataFrame:
+    """``(vec_id, label, vector, code)``: doubles and codes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = dict(learned)
         for batch in batches:
-            lists = batch.column("embedding")
-            whole = np.diff(lists.offsets.to_numpy()) == len(mean)
-            batch = batch.filter(pa.array(whole))
-            if not batch.num_rows:
-                continue
-            x = batch.column("embedding").flatten().to_numpy().reshape(-1, len(mean))
-            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            bits = np.packbits((unit - mean) @ projection > 0, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("label"), pa.array([r.tobytes() for r in x]),
-                 pa.array([r.tobytes() for r in bits])], names=["vec_id", "label", "vector", "code"])
+            sizes = np.diff(batch.column("embedding").offsets.to_numpy())
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                x = part.column("embedding").flatten().to_numpy().reshape(-1, size)
+                mean, projection = _projection(int(size), known, config)
+                bits = np.packbits((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ projection > 0, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("vec_id"), part.column("label"), pa.array([r.tobytes() for r in x]),
+                     pa.array([r.tobytes() for r in bits])], names=["vec_id", "label", "vector", "code"])
 
     label = vectors.schema["label"].dataType.simpleString()
     return vectors.mapInArrow(run, f"vec_id bigint, label {label}, vector binary, code binary")
 
 
 def _keys(cells: DataFrame, config: EmbeddingConfig, probe: bool) -> DataFrame:
-    """``(label, key, code)`` per segment; with ``probe`` also all keys one bit away."""
-    flips = np.array([0] + [1 << b for b in range(config.segment_bits)] if probe else [0], dtype=np.int64)
+    """``(label, key, code)`` per segment; with ``probe`` also all keys up to ``probed_bits`` away."""
+    edges = config.edges
+    flips = [np.array([sum(1 << b for b in chosen) for r in range(config.probed_bits + 1 if probe else 1)
+                       for chosen in combinations(range(high - low), r)], dtype=np.int64) for low, high in zip(edges, edges[1:])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            bits = np.unpackbits(np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype=np.uint8)
-                                 .reshape(batch.num_rows, -1), axis=1)
-            segments = bits.reshape(batch.num_rows, -1, config.segment_bits)
-            value = segments.astype(np.int64) @ (1 << np.arange(config.segment_bits, dtype=np.int64))
-            key = (value[:, :, None] ^ flips) | (np.arange(value.shape[1])[None, :, None] << config.segment_bits)
-            at = pa.array(np.repeat(np.arange(batch.num_rows), key[0].size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label").take(at), pa.array(key.ravel()), batch.column("code").take(at)],
-                names=["label", "key", "code"])
+            rows = max(1, (1 << 20) // sum(map(len, flips)))
+            for part in (batch.slice(at, rows) for at in range(0, batch.num_rows, rows)):
+                bits = np.unpackbits(np.frombuffer(b"".join(part.column("code").to_pylist()), dtype=np.uint8)
+                                     .reshape(part.num_rows, -1), axis=1).astype(np.int64)
+                keys = []
+                for j, (low, high) in enumerate(zip(edges, edges[1:])):
+                    value = bits[:, low:high] @ (1 << np.arange(high - low, dtype=np.int64))
+                    keys.append((value[:, None] ^ flips[j]) | (j << 48))
+                key = np.concatenate(keys, axis=1)
+                at = pa.array(np.repeat(np.arange(part.num_rows), key.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("label").take(at), pa.array(key.ravel()), part.column("code").take(at)],
+                    names=["label", "key", "code"])
 
     label = cells.schema["label"].dataType.simpleString()
     return cells.select("label", "code").mapInArrow(run, f"label {label}, key bigint, code binary")
@@ -203,14 +255,13 @@ def near_duplicate_vectors(vectors: DataFrame, config: EmbeddingConfig = Embeddi
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``vectors(vec_id, embedding, label)``.
 
     Vectors link when their labels are equal and not null and their cosine, in double
-    precision, is at least ``cosine``. A vector that is null, empty, zero, not of the usual
-    length, or has null or non-finite components links with nothing. ``n_links`` counts other
-    ids. Rows without an id have no component and are kept; an id that repeats counts once, by
-    one of its rows.
+    precision, is at least ``cosine``. A vector that is null, empty, zero, or has null or
+    non-finite components links with nothing, and vectors of different lengths do not link.
+    ``n_links`` counts other ids. Rows without an id have no component and are kept; an id that
+    repeats counts once, by the row with the least label and vector.
     """
     valid = valid_vectors(vectors)
-    mean, projection = learn_rotations(valid, config)
-    coded = materialize(encode(valid, mean, projection), "coded")
+    coded = materialize(encode(valid, learn_rotations(valid, config), config), "coded")
     # Equal vectors are one item with a weight, named by its least id.
     items = materialize(coded.groupBy("label", "code", "vector").agg(
         F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")), "items")
@@ -219,7 +270,8 @@ def near_duplicate_vectors(vectors: DataFrame, config: EmbeddingConfig = Embeddi
     blocks = materialize(_blocks(items, config), "blocks")
     cells = blocks.where("block = 0").select("label", "code")
     cells = cells.union(blocks.where("block > 0").select("label", "code")).distinct()
-    near = materialize(_near_cells(cells, config), "near-cells")
+    cells = materialize(cells, "cells")
+    near = materialize(_near_cells(cells, config.sized(cells.count())), "near-cells")
     u, v = (blocks.select("label", *[F.col(c).alias(f"{c}_{s}") for c in ("code", "block", "vec_id", "weight", "vector")])
             for s in "uv")
     columns = ["vec_id_u", "weight_u", "vector_u", "vec_id_v", "weight_v", "vector_v", "same"]
