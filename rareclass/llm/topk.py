@@ -1,6 +1,6 @@
 """Exact nearest binary codes by incremental multi-index hashing.
 
-A 64-bit code is cut into segments of about log2(codes) bits; a table per segment finds codes
+A 64-bit code is cut into segments of about log2(codes / 8) bits; a table per segment finds codes
 by that segment's value. Two codes at distance d agree on some segment up to d / segments bits,
 so once all keys within r bits of a query's segments have been looked up, every code at distance
 up to ``segments * (r + 1) - 1`` has been met. The radius grows until the k-th distance found lies
@@ -31,7 +31,7 @@ class TopKConfig:
     """``sample`` codes give the first bound; it and ``segments`` affect the work and not the result.
 
     Without ``segments`` their number follows from the number of codes, so that a key of one
-    segment is met by about one code. Three are the fewest: the keys of a query with no near
+    segment is met by about eight codes. Three are the fewest: the keys of a query with no near
     code at all grow with the segment's bits, and 22 of them have at most 705,432 at a radius.
     """
 
@@ -41,7 +41,7 @@ class TopKConfig:
     seed: int = 3
 
     def sized(self, codes: int) -> TopKConfig:
-        return self if self.segments else replace(self, segments=max(3, round(BITS / math.log2(max(codes, 2) + 2))))
+        return self if self.segments else replace(self, segments=max(3, math.ceil(BITS / max(4, math.log2(max(codes, 1)) - 3))))
 
     @property
     def edges(self) -> list[int]:
