@@ -79,11 +79,16 @@ WITH d AS (
 n AS (
   SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: trim(ls[i], E' \t\r\f') <> '') AS nb FROM d),
 wins AS (
-  SELECT doc_id, unnest(range(1, len(nb) - 1)) AS s, ls, nb FROM n WHERE len(nb) >= 3),
-keyed AS (SELECT doc_id, s, [ls[nb[s]], ls[nb[s + 1]], ls[nb[s + 2]]] AS win FROM wins),
-judged AS (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) > 1 AS rep FROM keyed),
+  SELECT doc_id, unnest(range(1, len(nb) + 1)) AS s, ls, nb FROM n),
+-- Three lines, or one or two with 50 words or 400 characters together.
+keyed AS (
+  SELECT doc_id, s, k, list_transform(nb[s:s + k - 1], lambda i: ls[i]) AS win
+  FROM wins, (VALUES (1), (2), (3)) AS v(k) WHERE s + k - 1 <= len(nb)),
+long AS (SELECT * FROM keyed WHERE k = 3 OR list_sum(list_transform(win, lambda x: length(x))) >= 400
+  OR list_sum(list_transform(win, lambda x: len(string_split_regex(trim(x, E' \t\r\f'), '\s+')))) >= 50),
+judged AS (SELECT doc_id, s, k, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) > 1 AS rep FROM long),
 gone AS (SELECT doc_id, list(DISTINCT q) AS qs FROM (
-  SELECT doc_id, unnest(range(s, s + 3)) AS q FROM judged WHERE rep) GROUP BY doc_id),
+  SELECT doc_id, unnest(range(s, s + k)) AS q FROM judged WHERE rep) GROUP BY doc_id),
 -- A blank line goes if the lines before and after it are of one deleted run.
 raw AS (
   SELECT n.doc_id, ls, nb, qs, list_filter(range(1, len(ls) + 1), lambda i: NOT (
@@ -101,8 +106,8 @@ FROM raw
 
 @query("op6_line_dedup", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without runs of three lines or more that an earlier place also has."""
-    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    """Documents without runs of three lines or more, or of 50 words or more, that an earlier place also has."""
+    found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"), long_words=line_dedup.LONG_WORDS)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -316,7 +321,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> ''))::BIGINT AS size,
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> ''))::BIGINT AS size,
     (('0x' || substr(md5('13:' || coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')), 1, 13))::BIGINT + 0.5::DOUBLE)
       / 4503599627370496 AS draw
   FROM documents),
