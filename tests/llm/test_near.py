@@ -102,6 +102,14 @@ def test_near_duplicates_of_a_table(spark, sf):
     assert {r.doc_id: r.component_id for r in got} == brute(rows, 2)
 
 
+def test_long_near_copies_are_compared_in_small_groups(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120_000)]  # about a megabyte each
+    rows = [(i, " ".join(base[:300 * i] + [f"own{i}"] + base[300 * i + 1:])) for i in range(12)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), NearDedupConfig(block_shingles=200_000))
+    assert {r.component_id for r in got.collect()} == {0}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -161,6 +169,42 @@ def test_vectors_of_a_table(spark, sf):
     assert {r.vec_id: r.component_id for r in got} == parts
 
 
+def unit(x):
+    return x / np.linalg.norm(x)
+
+
+@pytest.mark.parametrize("size", [64, 48])
+def test_recall_of_planted_pairs(spark, size):
+    """Pairs at cosines from the limit on, in as many dimensions as real vectors have."""
+    rng, rows = np.random.default_rng(size), []
+    for i in range(350):
+        a = unit(rng.normal(size=size))
+        b = rng.normal(size=size)
+        b = unit(b - (b @ a) * a)
+        cosine = rng.uniform(.931, .97)
+        rows += [(2 * i, a.tolist(), i % 2), (2 * i + 1, (cosine * a + np.sqrt(1 - cosine ** 2) * b).tolist(), i % 2)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(5)
+    count, _ = brute_vectors(rows, .93)
+    found = sum(r.n_links for r in near_duplicate_vectors(df).collect())
+    assert .99 * sum(count.values()) <= found <= sum(count.values())
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=64).tolist(), 1) for i in range(200)]
+    rows += [(500 + i, [1.0 + j for j in range(32)], 1) for i in range(3)] + [(600, rows[0][1][:32], 1), (601, rows[7][1], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicate_vectors(df).collect()}
+    assert [got[i] for i in (500, 501, 502)] == [(2, 500)] * 3
+    assert got[7] == (1, 7) and got[601] == (1, 7) and got[600] == (0, 600)
+
+
+def test_segments_follow_the_number_of_cells():
+    small, large = EmbeddingConfig().sized(1000), EmbeddingConfig().sized(10**9)
+    assert small.segments > large.segments and small.probed_bits <= large.probed_bits
+    assert small.edges[-1] == large.edges[-1] == 128
+
+
 def test_vectors_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert near_duplicate_vectors(empty).count() == 0

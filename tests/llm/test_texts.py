@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -52,24 +53,31 @@ def test_substrings_equal_brute_force(spark):
     assert substring_dedup.without_repeats(frame(spark, []), substring_dedup.SubstringConfig()).count() == 0
 
 
-def lines_removed(rows, wide=3):
-    first, full = {}, []
+def lines_removed(rows, wide=3, long_words=None):
+    """(doc_id, lines, removed lines, what is kept): runs of ``wide`` lines, or shorter ones of ``long_words`` words."""
+    def counts(lines):
+        words, chars = sum(len(x.strip(" \t\r\f").split()) for x in lines), sum(map(len, lines))
+        return len(lines) == wide or words >= long_words or chars >= 8 * long_words
+
+    full, first = [], {}
     for doc_id, text in rows:
         lines = (text or "").split("\n")
-        at = [i for i, x in enumerate(lines) if x.strip(" \t\r\f")]
-        full.append((lines, at))
-        for s in range(len(at) - wide + 1 if doc_id is not None else 0):
-            key = tuple(lines[i] for i in at[s:s + wide])
-            first[key] = min(first.get(key, (doc_id, s)), (doc_id, s))
+        full.append((lines, [i for i, x in enumerate(lines) if x.strip(" \t\r\f")]))
+    runs = [(k, s, tuple(lines[i] for i in at[s:s + n])) for k, (lines, at) in enumerate(full) if rows[k][0] is not None
+            for n in range(wide if long_words is None else 1, wide + 1) for s in range(len(at) - n + 1)]
+    runs = [r for r in runs if counts(r[2])]
+    for k, s, key in runs:
+        first[key] = min(first.get(key, (rows[k][0], s)), (rows[k][0], s))
+    gone = [set() for _ in rows]
+    for k, s, key in runs:
+        if first[key] < (rows[k][0], s):
+            gone[k].update(range(s, s + len(key)))
     out = []
-    for (doc_id, _), (lines, at) in zip(rows, full):
-        gone = set()
-        for s in range(len(at) - wide + 1 if doc_id is not None else 0):
-            if first[tuple(lines[i] for i in at[s:s + wide])] < (doc_id, s):
-                gone.update(range(s, s + wide))
-        raw = {at[q] for q in gone} | {i for q in gone if q + 1 in gone for i in range(at[q], at[q + 1])}
+    for (doc_id, _), (lines, at), own in zip(rows, full, gone):
+        # Blank lines between two deleted ones go only inside one run.
+        raw = {at[q] for q in own} | {i for q in own if q + 1 in own for i in range(at[q], at[q + 1])}
         kept = None if raw == set(range(len(lines))) else "\n".join(x for i, x in enumerate(lines) if i not in raw)
-        out.append((doc_id, len(at), len(gone), kept or ""))
+        out.append((doc_id, len(at), len(own), kept or ""))
     return out
 
 
@@ -88,28 +96,12 @@ def test_lines_equal_brute_force(spark):
 def test_long_runs_of_one_or_two_lines_equal_brute_force(spark):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(500)]
-    pool = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 5, 24, 25, 26, 49, 50, 51, 125, 20)] + ["", "x" * 399, "x" * 400]
+    pool = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 5, 24, 25, 26, 49, 50, 51, 125, 20)] + ["x" * 399, "x" * 400]
     rows = [(d, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for d in range(60)]
     rows += [(d, f"only {d}\n{pool[8]}\nlast {d}") for d in (200, 201)] + [(None, pool[8]), (202, None)]
-
-    def long(lines):
-        return sum(len(x.split()) for x in lines) >= 50 or sum(map(len, lines)) >= 400
-
-    first, gone = {}, {}
-    for judge in (False, True):
-        for k, (doc_id, text) in enumerate(rows):
-            full = [x for x in (text or "").split("\n") if x.strip(" \t\r\f")]
-            for s in range(len(full) if doc_id is not None else 0):
-                for n in (1, 2, 3):
-                    lines = tuple(full[s:s + n])
-                    if len(lines) < n or (n < 3 and not long(lines)):
-                        continue
-                    first[lines] = min(first.get(lines, (doc_id, s)), (doc_id, s))
-                    if judge and first[lines] < (doc_id, s):
-                        gone.setdefault(k, set()).update(range(s, s + n))
-    want = sorted((str(d), len(gone.get(k, ()))) for k, (d, _) in enumerate(rows))
+    want = sorted(map(repr, lines_removed(rows, long_words=50)))
     got = line_dedup.without_repeated_lines(frame(spark, rows), long_words=50).collect()
-    assert want == sorted((str(r.doc_id), r.n_removed) for r in got)
+    assert want == sorted(repr((r.doc_id, r.n_lines, r.n_removed, r.kept)) for r in got)
     assert {r.doc_id: r.kept for r in got}[201] == "only 201\nlast 201"
 
 
@@ -185,11 +177,43 @@ def test_sentence_pieces_are_best_and_come_back(spark, sf):
                 run += vocabulary.bytes_of[i]
         return out
 
+    many = " ".join(f"u{i}v" for i in range(20_000))  # more units than the cache holds
+    start = time.perf_counter()
+    assert vocabulary.decode(vocabulary.encode(many)) == many and len(vocabulary.known) <= config.cached_units
+    assert time.perf_counter() - start < 2
     for text in [t for t in texts if t and len(t) < 400]:
         assert total(text) == pytest.approx(best(" " + text))
     assert sentence_pieces.encode(frame(spark, []), config).count() == 0
 
 
+def test_secrets_beside_base_spans():
+    rng = random.Random(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    scanner = secrets.Scanner(secret_config())
+    mixed = "".join(rng.choices(letters, k=20)) + "0123456789abcdef01234567" + "".join(rng.choices(letters, k=20))
+    base, spans = scanner.spans(f"see {mixed} there")
+    assert [k for _, k, _ in base] == [2] and (4, 3, 4 + len(mixed)) in spans and set(base) < set(spans)
+    assert secrets.redacted(f"see {mixed} there", spans) == "see [SECRET] there"
+    base, spans = scanner.spans("token=" + mixed[:24])  # wholly inside a base span
+    assert base == spans and len(base) == 1
+    start = time.perf_counter()
+    many = " ".join("0123456789abcdef01234567" for _ in range(20_000))
+    assert len(scanner.spans(many)[0]) == 20_000 and time.perf_counter() - start < 5
+
+
+def test_packing_keeps_frequent_words():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = [" ".join(f"often{rng.randrange(300)}" if rng.random() < .7 else f"rare{rng.random()}" for _ in range(400)) for _ in range(60)]
+    path = tokenizer_path("word_bpe_49k.json")
+    small, large = packing.WordTokens(path, 1500), packing.WordTokens(path, 1 << 20)
+    for text in texts:
+        a, b = small.encode(pa.array([text, None])), large.encode(pa.array([text, None]))
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    assert small.first.size <= 1500 + 400 and (small.met.data[:small.met.size] > 1).sum() >= 250
+
+
 def test_secrets(spark, sf):
     config = secret_config()
     key = "q7ZrT4wLx9BvN2mKc8Yd5Hs3Jf6Gp1"
@@ -253,6 +277,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == toxic for r, toxic in asked) >= .97 * len(asked)
 
 
+def test_toxicity_samples_each_class(spark):
+    rows = [(i, f"word{i} " + ("vile" if i % 50 == 0 else "fine")) for i in range(1000)] + [(0, "a different text")]
+    labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in range(1000)], "doc_id bigint, toxic int")
+    config = toxicity.ToxicityConfig(max_rows=60)
+    chosen = toxicity.training_rows(frame(spark, rows), labels, config).collect()
+    assert sorted(r.toxic for r in chosen) == [0] * 40 + [1] * 20  # all of the rare class, the rest of the other
+    assert "a different text" in {r.text for r in chosen}  # of a repeated id the least text
+    model = toxicity.fit(frame(spark, rows).selectExpr("0 toxic", "text").where("false").union(
+        toxicity.training_rows(frame(spark, rows), labels, config)), config)
+    got = toxicity.score(frame(spark, [(1, "so vile"), (2, "so fine")]), model, ["doc_id"]).collect()
+    assert {r.doc_id: r.score > .5 for r in got} == {1: True, 2: False}
+
+
 def test_toxicity_edges(spark):
     docs = frame(spark, [(1, None), (2, ""), (2, "again"), (None, "x"), (3, "long " * 30_000)])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
