@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rareclass.llm import line_dedup, near_dedup, packing, secrets, toxicity
 from rareclass.llm.queries import secret_config, table, tokenizer_path
-from rareclass.session import shared_dir
+from rareclass.session import materialize, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,7 +21,10 @@ def _with_text(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are predicted toxic go. All rows of the label table may teach, as far as they are held in."""
+    """Documents that are predicted toxic go. All rows of the label table may teach, as far as they are held in.
+
+    Null and empty texts have the score of no words. Columns beside those of ``documents`` end here.
+    """
     config = toxicity.ToxicityConfig()
     known = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     model = toxicity.fit(toxicity.training_rows(docs, known, config), config)
@@ -29,31 +32,34 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines that an earlier place also has go; so does a document with nothing left of it."""
-    found = line_dedup.without_repeated_lines(docs, COLUMNS)
+    """Runs of lines that an earlier place also has go; so does a document with nothing left of it.
+
+    A run has three lines, or 50 words. Null and empty texts have no lines and stay.
+    """
+    found = line_dedup.without_repeated_lines(docs, COLUMNS, long_words=line_dedup.LONG_WORDS)
     changed = F.when(F.col("n_removed") > 0, F.col("kept"))
     return _with_text(found.where("n_removed = 0 or n_removed < n_lines"), changed)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays, on sets of five-word shingles."""
-    classes = near_dedup.near_duplicates(docs.select("doc_id", "text"))
-    gone = classes.where("not kept").select("doc_id").distinct()
-    # A repeated id is one document: a row with the text that near_duplicates judged stays.
-    judged = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    known = (docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").groupBy("doc_id")
-             .agg(F.min(F.struct(judged.alias("judged"), *[c for c in COLUMNS if c != "doc_id"])).alias("row"))
-             .select("doc_id", "row.*"))
-    return known.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
+    """One document of each class of near copies stays, on sets of five-word shingles.
+
+    Every row is judged by its own text: rows that repeat an id, or have none, are documents of
+    their own. Texts without words are no one's copies and stay.
+    """
+    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    classes = near_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    gone = classes.where("not kept").select(F.col("doc_id").alias("row"))
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; every document stays."""
+    """Secrets are replaced by a mark; every document stays, null texts as they are."""
     return _with_text(secrets.scan(docs, secret_config(), COLUMNS), F.col("redacted"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document in pieces of sequences of 4096."""
+    """Token ids of every document in pieces of sequences of 4096; a null or empty text is its end id."""
     return packing.pack(docs, packing.PackingConfig(tokenizer_path("word_bpe_49k.json")))
 
 
