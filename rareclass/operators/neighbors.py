@@ -1,25 +1,30 @@
 """Exact k nearest neighbours within one table of points, without comparing all pairs.
 
-Points are assigned to the nearest of a bounded set of pivots. Each point first searches its
-own cell, which bounds its k-th distance; it is then sent only to the cells that can hold a
-nearer point by the triangle inequality. Cells larger than a block are cut into blocks on
-both sides, so no task holds an unbounded group, and only the k best of each block pair are
-emitted.
+A tree of pivots cuts the points into leaves of bounded size: every cell that is too large is
+split by pivots of its own, level by level, with no limit on their number. A point first
+searches its own leaf, which bounds its k-th distance. It is then sent down the tree, to the
+cells that can hold a nearer point by the triangle inequality, and visits the leaves it reaches
+nearest first: a few per round, after which its smaller bound drops most of the others.
+Whatever meets in a task is bounded on both sides: a leaf, or the children of one cell, with a
+block of points that ask for it.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rareclass.functions.hashing import hash_int, hash_key
+from rareclass.session import materialize
 
 BLOCK_POINTS = 4096
-MAX_PIVOTS = 1024
+FAN = 32
+FIRST_VISITS = 2
+_ROOT = "0"
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -34,11 +39,16 @@ def _matrix(column) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
+def _ids(block: pd.DataFrame) -> np.ndarray:
+    """Ids as a typed array, numbers or texts alike."""
+    return np.asarray(block["pid"].tolist())
+
+
 def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step: int = 512) -> pd.DataFrame:
     """The k nearest members of each query, itself excluded; ties go to the smaller id."""
     qid, mid = _ids(queries), _ids(members)
     by_id = np.argsort(mid, kind="stable")
-    mid, m_all, copies = mid[by_id], _matrix(members["x"])[by_id], members["m"].to_numpy()[by_id]
+    mid, m_all = mid[by_id], _matrix(members["x"])[by_id]
     q_all = _matrix(queries["x"])
     asked, picked, dist = [], [], []
     for at in range(0, len(qid), step):
@@ -55,125 +65,149 @@ def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step:
         asked.append(at + row[keep])
         picked.append(column[keep])
         dist.append(near[keep])
-    asked, picked = np.concatenate(asked), np.concatenate(picked)
-    return _frame(qid[asked], np.concatenate(dist), mid[picked], m_all[picked], copies[picked])
-
-
-def _frame(pid, d2, nid, nx, nm) -> pd.DataFrame:
-    return pd.DataFrame({
-        "pid": list(pid), "d2": np.asarray(d2, dtype=float), "nid": list(nid), "nx": pd.Series(list(nx), dtype=object),
-        "nm": np.asarray(nm, dtype="int64")})
-
-
-def _ids(block: pd.DataFrame) -> np.ndarray:
-    """Ids as a typed array, numbers or texts alike."""
-    return np.asarray(block["pid"].tolist())
+    return pd.DataFrame({"pid": list(qid[np.concatenate(asked)]), "d2": np.concatenate(dist),
+                         "nid": list(mid[np.concatenate(picked)])})
 
 
 def _id_type(points: DataFrame) -> str:
     return points.schema["pid"].dataType.simpleString()
 
 
-def _block_join(queries: DataFrame, members: DataFrame, sizes: dict[int, int], k: int, block: int) -> DataFrame:
-    """Top k of each (query block, member block) of a cell. ``queries`` has a ``cell`` to search."""
-    spark = members.sparkSession
-    blocks = spark.createDataFrame([(c, max(1, math.ceil(n / block))) for c, n in sizes.items()], "cell int, nb int")
+def _met(left: DataFrame, right: DataFrame, run, schema: str, block: int) -> DataFrame:
+    """``run(rows of left, rows of right)`` of every cell, at most about ``block`` rows of the left at a time."""
+    blocks = left.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     side = hash_int(8, hash_key("block", F.col("pid")))
-    small = F.broadcast(blocks)  # one row per pivot
-    m = (members.join(small, "cell").withColumn("mb", (side % F.col("nb")).cast("int"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
-    q = (queries.join(small, "cell").withColumn("qb", (side % F.col("nb")).cast("int"))
-         .withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
-    keys = ["cell", "mb", "qb"]
-
-    def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return _frame([], [], [], [], [])
-        return nearest_in_block(left, right, k)
-
-    kind = _id_type(members)
-    # Fresh column identities: both sides stem from the same points.
-    q = q.select(*keys, "pid", "x").toDF(*keys, "pid", "x")
-    m = m.select(*keys, "pid", "x", "m").toDF(*keys, "pid", "x", "m")
-    # No more tasks than block pairs: an empty task still costs a Python worker.
-    pairs = sum(max(1, math.ceil(n / block)) ** 2 for n in sizes.values())
-    tasks = min(pairs, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    q, m = q.repartition(tasks, *keys), m.repartition(tasks, *keys)
-    return q.groupBy(*keys).cogroup(m.groupBy(*keys)).applyInPandas(
-        run, f"pid {kind}, d2 double, nid {kind}, nx array<double>, nm bigint")
-
-
-def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            if len(b):
-                d = squared_distances(_matrix(b["x"]), pivots)
-                b["cell"] = d.argmin(axis=1).astype("int32")
-                b["dc"] = np.sqrt(d.min(axis=1))
-                yield b
-
-    return points.mapInPandas(
-        run, f"pid {_id_type(points)}, x array<double>, m bigint, cell int, dc double")
-
-
-def _route(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
-    """Each query once per other cell that can hold a point within its bound ``r``."""
+    a = left.join(blocks, "cell").withColumn("part", (side % F.col("blocks")).cast("int")).drop("blocks")
+    b = (right.join(blocks, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def both(_, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if len(x) and len(y):
+            return run(x, y)
+        return pd.DataFrame({c: pd.Series([], dtype=object) for c in names})
+
+    # Fresh column identities: both sides may stem from the same points.
+    a, b = a.toDF(*a.columns), b.toDF(*b.columns)
+    return a.groupBy("cell", "part").cogroup(b.groupBy("cell", "part")).applyInPandas(both, schema)
+
+
+def _split(points: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+    """Every point to the child with the nearest pivot."""
+    d = squared_distances(_matrix(points["x"]), _matrix(children["pivot"]))
+    return pd.DataFrame({"pid": points["pid"], "x": points["x"], "cell": children["child"].to_numpy()[d.argmin(axis=1)],
+                         "far": np.sqrt(d.min(axis=1))})
+
+
+def _tree(points: DataFrame, block: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(points with their leaf, ``(cell, child, pivot, radius)`` of every level of the tree)."""
+    active, leaves, levels = points.select("pid", "x", F.lit(_ROOT).alias("cell")), [], []
+    while True:
+        large = materialize(active.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(f"n > {block}"), "large-cells")
+        leaves.append(active.join(large, "cell", "left_anti").select("pid", "x", "cell"))
+        if large.isEmpty():
+            return reduce(DataFrame.union, leaves), levels
+        inside = active.join(large, "cell")
+        # Pivots follow the density of the points: the first of a cell in hash order.
+        drawn = F.row_number().over(Window.partitionBy("cell").orderBy(hash_key("pivot", F.col("cell"), F.col("pid"))))
+        pivots = (inside.withColumn("number", drawn).where(f"number <= {fan}").where(f"number <= ceil(2 * n / {block})")
+                  .select("cell", F.concat_ws(".", "cell", F.col("number").cast("string")).alias("child"), F.col("x").alias("pivot")))
+        pivots = materialize(pivots, "pivots")
+        active = materialize(_met(inside.select("cell", "pid", "x"), pivots, _split,
+                                  f"pid {_id_type(points)}, x array<double>, cell string, far double", block), "cells")
+        radius = active.groupBy(F.col("cell").alias("child")).agg(F.max("far").alias("radius"))
+        levels.append(materialize(pivots.join(radius, "child"), "level"))
+
+
+def _lower_bounds(points: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+    """The children that can hold a point within ``bound``, with the least distance it can have."""
+    pivots = _matrix(children["pivot"])
+    d = np.sqrt(squared_distances(_matrix(points["x"]), pivots))
     gap = np.sqrt(squared_distances(pivots, pivots))
+    home = d.argmin(axis=1)
+    own = d[np.arange(len(d)), home]
+    # Distance to the plane between two pivots, and to the ball around a pivot.
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (d * d - (own * own)[:, None]) / (2 * gap[home])
+    low = np.maximum(np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0), d - children["radius"].to_numpy()[None, :])
+    low = np.maximum(low, points["low"].to_numpy()[:, None])
+    row, child = np.nonzero(low <= _slack(points["bound"].to_numpy())[:, None])
+    out = points.iloc[row][["pid", "x", "bound", "home"]].copy()
+    out["cell"], out["low"] = children["child"].to_numpy()[child], low[row, child]
+    return out
+
 
-    def run(batches):
-        for b in batches:
-            if not len(b):
-                continue
-            d = np.sqrt(squared_distances(_matrix(b["x"]), pivots))
-            home = b["cell"].to_numpy()
-            own = d[np.arange(len(b)), home]
-            # Distance to the bisecting plane, and to the ball around the pivot.
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d * d - (own * own)[:, None]) / (2 * gap[home])
-            low = np.maximum(np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0), d - radius[None, :])
-            # The slack covers rounding; it can only add cells.
-            need = low <= b["r"].to_numpy()[:, None] * (1 + 1e-9) + 1e-9
-            need[np.arange(len(b)), home] = False
-            need &= radius[None, :] >= 0
-            row, cell = np.nonzero(need)
-            if len(row):
-                yield pd.DataFrame({"pid": b["pid"].to_numpy()[row],
-                                    "x": pd.Series(list(b["x"].to_numpy()[row]), dtype=object),
-                                    "cell": cell.astype("int32")})
-
-    return queries.mapInPandas(run, f"pid {_id_type(queries)}, x array<double>, cell int")
-
-
-def _best(partial: DataFrame, k: int) -> DataFrame:
-    """(pid, nn): at most k neighbours of each point, nearest first."""
-    item = F.struct("d2", "nid", "nx", "nm")
-    return partial.groupBy("pid").agg(F.slice(F.array_sort(F.collect_list(item)), 1, k).alias("nn"))
-
-
-def nearest_neighbors(points: DataFrame, k: int, block: int = BLOCK_POINTS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
+def _slack(bound):
+    """Room for rounding; it can only add cells."""
+    return bound * (1 + 1e-9) + 1e-9
+
+
+def _reached(asked: DataFrame, levels: list[DataFrame], block: int) -> DataFrame:
+    """``(pid, x, cell, low)``: the leaves, other than its own, that a point's bound reaches."""
+    frontier = asked.withColumn("cell", F.lit(_ROOT)).withColumn("low", F.lit(0.0))
+    schema = f"pid {_id_type(asked)}, x array<double>, bound double, home string, cell string, low double"
+    leaves = []
+    for level, below in zip(levels, [*levels[1:], None]):
+        frontier = materialize(_met(frontier, level, _lower_bounds, schema, block), "frontier")
+        parents = None if below is None else below.select("cell").distinct()
+        leaves.append(frontier if below is None else frontier.join(parents, "cell", "left_anti").select(*frontier.columns))
+        if below is not None:
+            frontier = frontier.join(parents, "cell", "left_semi")
+    return reduce(DataFrame.unionByName, leaves).where("cell <> home").select("pid", "x", "cell", "low")
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("pid").orderBy("d2", "nid")
+    return found.withColumn("rank", F.row_number().over(order)).where(f"rank <= {k}").drop("rank")
+
+
+def _searched(points: DataFrame, k: int, block: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(the k best ``(pid, d2, nid)`` of each point, the ``pid`` of every visit to a leaf)."""
+    placed, levels = _tree(points, block, fan)
+    kind = _id_type(points)
+
+    def search(asked: DataFrame) -> DataFrame:
+        return _met(asked.select("cell", "pid", "x"), placed.select("cell", "pid", "x"),
+                    lambda x, y: nearest_in_block(x, y, k), f"pid {kind}, d2 double, nid {kind}", block)
+
+    if levels:
+        placed = materialize(placed, "leaves")
+    best, visits = materialize(search(placed), "best"), [placed.select("pid")]
+    if not levels:
+        return best, visits
+
+    def bounds() -> DataFrame:
+        return best.groupBy("pid").agg(F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).alias("bound"))
+
+    endless = F.coalesce("bound", F.lit(float("inf")))  # fewer than k found so far
+    asked = placed.join(bounds(), "pid", "left").select("pid", "x", F.col("cell").alias("home"), endless.alias("bound"))
+    rest, step = materialize(_reached(asked, levels, block), "visits"), FIRST_VISITS
+    nearest_first = Window.partitionBy("pid").orderBy("low", "cell")
+    while True:
+        open_visits = rest.join(bounds(), "pid", "left").where(F.col("low") <= _slack(endless)).drop("bound")
+        ranked = materialize(open_visits.withColumn("rank", F.row_number().over(nearest_first)), "ranked-visits")
+        if ranked.isEmpty():
+            return best, visits
+        now, rest = ranked.where(f"rank <= {step}"), ranked.where(f"rank > {step}").drop("rank")
+        best = materialize(_top(best.unionByName(search(now)), k), "best")
+        visits.append(now.select("pid"))
+        step *= 4
+
+
+def nearest_neighbors(points: DataFrame, k: int, block: int = BLOCK_POINTS, fan: int = FAN) -> DataFrame:
     """``points`` (pid, x, m; x distinct) -> (pid, nn) with nn = array of (d2, nid, nx, nm).
 
-    A point gets as many lists of k candidates as blocks it visits; visits are limited by
-    the pivots, not by the size of a group.
+    At most ``k`` neighbours of each point, nearest first, ties by the smaller id. ``block``
+    bounds leaves and the points that ask for one at a time, ``fan`` the children of a cell.
     """
-    points = points.select("pid", "x", F.col("m").cast("bigint").alias("m"))
-    n = points.count()
-    cells = min(max_pivots, math.ceil(n / block))
-    if cells <= 1:
-        lone = points.withColumn("cell", F.lit(0))
-        return _best(_block_join(lone, lone, {0: n}, k, block), k)
-    # Pivots follow the density of the points: the first rows in hash order.
-    pivots = np.array([r["x"] for r in points.orderBy(hash_key("pivot", F.col("pid"))).limit(cells).collect()])
-    placed = _assign(points, pivots)
-    stat = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dc").alias("r")).collect()
-    sizes = {r["cell"]: r["n"] for r in stat}
-    radius = np.full(len(pivots), -1.0)
-    for r in stat:
-        radius[r["cell"]] = r["r"]
-    home = _block_join(placed, placed, sizes, k, block)
-    bound = (_best(home, k).select("pid", F.when(F.size("nn") == k, F.sqrt(F.element_at("nn", -1)["d2"]))
-                                   .otherwise(float("inf")).alias("r")))
-    asked = placed.join(bound, "pid", "left").select(
-        "pid", "x", "cell", F.coalesce("r", F.lit(float("inf"))).alias("r"))
-    away = _block_join(_route(asked, pivots, radius), placed, sizes, k, block)
-    return _best(home.unionByName(away), k)
+    points = materialize(points.select("pid", "x", F.col("m").cast("bigint").alias("m")), "points")
+    best, _ = _searched(points, k, block, fan)
+    other = points.select(F.col("pid").alias("nid"), F.col("x").alias("nx"), F.col("m").alias("nm"))
+    item = F.struct("d2", "nid", "nx", "nm")  # k at most for a point
+    return best.join(other, "nid").groupBy("pid").agg(F.array_sort(F.collect_list(item)).alias("nn"))
+
+
+def leaf_visits(points: DataFrame, k: int, block: int = BLOCK_POINTS, fan: int = FAN) -> DataFrame:
+    """``(pid, visits)``: the number of leaves that the search for each point compares it with."""
+    points = materialize(points.select("pid", "x"), "points")
+    _, visits = _searched(points, k, block, fan)
+    return reduce(DataFrame.union, visits).groupBy("pid").agg(F.count(F.lit(1)).alias("visits"))

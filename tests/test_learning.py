@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rareclass.config import FEATURES, TrainingConfig
 from rareclass.errors import DatasetError
 from rareclass.operators import features, models, profile, resample
-from rareclass.operators.neighbors import nearest_neighbors, squared_distances
+from rareclass.operators.neighbors import leaf_visits, nearest_neighbors, squared_distances
 
 
 def test_preprocessing_learns_from_training_rows_only(spark):
@@ -72,19 +72,40 @@ def test_ksg_against_brute_force(spark):
     assert large == pytest.approx(got, abs=1e-3)
 
 
-@pytest.mark.parametrize("block, pivots", [(5000, 8), (60, 16), (40, 3)])
-def test_neighbors_are_exact(spark, block, pivots):
+@pytest.mark.parametrize("block, fan", [(5000, 8), (60, 16), (20, 3)])
+def test_neighbors_are_exact(spark, block, fan):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, 4))
     x[:100] = x[:100] * 0.01 + 4  # a dense third
     df = spark.createDataFrame([(i, x[i].tolist(), 1) for i in range(300)], "pid long, x array<double>, m long")
-    got = {r["pid"]: [n["nid"] for n in r["nn"]] for r in nearest_neighbors(df, 5, block, pivots).collect()}
+    got = {r["pid"]: [n["nid"] for n in r["nn"]] for r in nearest_neighbors(df, 5, block, fan).collect()}
     d = squared_distances(x, x)
     np.fill_diagonal(d, np.inf)
     want = np.argsort(d, axis=1, kind="stable")[:, :5]
     assert got == {i: want[i].tolist() for i in range(300)}
 
 
+def test_visits_do_not_grow_with_the_table(spark):
+    """Clusters in ten dimensions, four times as many of them: a point still visits as few leaves."""
+    rng, mean = np.random.default_rng(2), []
+    for n in (2000, 8000):
+        centres = rng.uniform(-50, 50, size=(n // 100, 10))
+        x = centres[rng.integers(len(centres), size=n)] + rng.normal(size=(n, 10)) * .1
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "pid long, x array<double>")
+        visits = leaf_visits(df, 5, block=128, fan=8).toPandas()["visits"]
+        assert len(visits) == n
+        mean.append(visits.mean())
+    assert mean[1] < 1.3 * mean[0] and mean[1] < 6
+
+
+def test_neighbors_with_few_points_and_text_ids(spark):
+    rows = [(f"p{i}", [float(i), 0.0], 2) for i in range(4)]
+    df = spark.createDataFrame(rows, "pid string, x array<double>, m int")
+    got = {r["pid"]: [(n["nid"], n["nm"]) for n in r["nn"]] for r in nearest_neighbors(df, 9, block=2, fan=2).collect()}
+    assert got["p0"] == [("p1", 2), ("p2", 2), ("p3", 2)] and len(got) == 4
+    assert nearest_neighbors(df.where("false"), 5).count() == 0
+
+
 def _vectors(spark, frame):
     return with_ids(spark, frame).select("row_id", "Class", F.array("V1", "V2", "V14").alias("x"))
 
