@@ -205,26 +205,43 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _dealt(members: DataFrame, config: NearDedupConfig) -> DataFrame:
-    """Members of each bucket in pairs of blocks ``(i, j)``, bounded by their number and their shingles.
+    """Members of each bucket in pairs ``(i, j)`` of blocks, bounded by their number and their shingles.
 
-    A node goes to its own block's pairs only, so a large bucket is spread over many groups.
+    Links are only missing between components, so members of all components but the bucket's
+    largest (``asks``) meet all members (``told``). A bucket that is nearly one component gives
+    few rows beside its own, and a large one is spread over many groups.
     """
-    size = members.groupBy("bucket").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / config.block), F.ceil(F.sum("n_shingles") / config.block_shingles)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
-    return (members.join(size.hint("merge"), "bucket").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-            .drop("blocks", "other", "n_shingles"))
+    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    buckets = parts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.max(F.struct("n", "component", "size")).alias("most")).withColumns({
+            "told": _blocks("n", "size", config), "asks": _blocks("n - most.n", "size - most.size", config)})
+    dealt = members.join(buckets.select("bucket", "main", "told", "asks").hint("merge"), "bucket")
+    minor, side = F.col("component") != F.col("main"), F.xxhash64("node")
 
+    def spread(rows: DataFrame, own: str, other: str, names: tuple[str, str], asks: bool) -> DataFrame:
+        return rows.select("bucket", "node", "component", F.lit(asks).alias("asks"), minor.alias("minor"),
+                           F.pmod(side, F.col(own)).cast("int").alias(names[0]),
+                           F.explode(F.sequence(F.lit(0), F.col(other).cast("int") - 1)).alias(names[1]))
 
-def _across(group: pa.Table) -> np.ndarray:
-    """Which pairs of the group are its to compare: other component, and one of each block."""
-    component, own = group.column("component").to_numpy(), group.column("own").to_numpy()
-    ask = component[:, None] != component[None, :]
-    if group.column("i")[0] != group.column("j")[0]:
-        ask &= own[:, None] != own[None, :]
-    return ask
+    asking, told = spread(dealt.where(minor), "asks", "told", ("i", "j"), True), spread(dealt, "told", "asks", ("j", "i"), False)
+    return asking.unionByName(told)
+
+
+def _blocks(count: str, size: str, config: NearDedupConfig):
+    return F.expr(f"cast(greatest(ceil(({count}) / {config.block}), ceil(({size}) / {config.block_shingles})) AS bigint)")
+
+
+def _across(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows that ask, rows that are told, and which pairs of them are this group's to compare."""
+    component, node, minor, asks = (group.column(c).to_numpy() for c in ("component", "node", "minor", "asks"))
+    a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+    ask = component[a][:, None] != component[b][None, :]
+    # Two that both ask meet twice: the smaller one's turn counts.
+    return a, b, ask & ~(minor[b][None, :] & (node[a][:, None] > node[b][None, :]))
+
+
+_DEALT = ["bucket", "i", "j", "asks", "minor", "node", "component"]
 
 
 def _undecided(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
@@ -236,21 +253,22 @@ def _undecided(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), dtype=np.uint32).reshape(len(group), -1)
-        ask = _across(group)
+        a, b, ask = _across(group)
         keys = band_keys(minima, config)
         here = int(np.flatnonzero(keys[0].view(np.int64) == group.column("bucket")[0].as_py())[0])
         for band in range(here):
-            ask &= keys[:, band][:, None] != keys[:, band][None, :]
+            ask &= keys[a, band][:, None] != keys[b, band][None, :]
         hit = np.zeros(len(group), dtype=bool)
-        u, v = np.nonzero(np.triu(ask))
+        u, v = np.nonzero(ask)
+        u, v = a[u], b[v]
         for at in range(0, len(u), _BLOCK):
-            a, b = u[at:at + _BLOCK], v[at:at + _BLOCK]
-            close = (minima[a] == minima[b]).sum(axis=1) >= least
-            hit[a[close]] = hit[b[close]] = True
-        return group.select(["bucket", "i", "j", "own", "node", "component"]).filter(pa.array(hit))
+            x, y = u[at:at + _BLOCK], v[at:at + _BLOCK]
+            close = (minima[x] == minima[y]).sum(axis=1) >= least
+            hit[x[close]] = hit[y[close]] = True
+        return group.select(_DEALT).filter(pa.array(hit))
 
     return dealt.groupBy("bucket", "i", "j").applyInArrow(
-        run, "bucket bigint, i int, j int, own int, node bigint, component bigint")
+        run, "bucket bigint, i int, j int, asks boolean, minor boolean, node bigint, component bigint")
 
 
 def _group_shingles(column: pa.ChunkedArray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,15 +300,16 @@ def _links_between(dealt: DataFrame, config: NearDedupConfig) -> DataFrame:
         text, code = text[shared[code]], column[code[shared[code]]]
         order = np.argsort(code, kind="stable")
         text, code = text[order], code[order]
-        common = np.zeros((n, n), dtype=np.float32)
+        a, b, ask = _across(group)
+        common = np.zeros((len(a), len(b)), dtype=np.float32)
         for at in range(0, int(shared.sum()), 4096):
             lo, hi = np.searchsorted(code, [at, at + 4096])
             part = np.zeros((n, 4096), dtype=np.float32)
             part[text[lo:hi], code[lo:hi] - at] = 1
-            common += part @ part.T
-        union = size[:, None] + size[None, :] - common
-        u, v = np.nonzero(_across(group) & (100 * common >= share * union) & (common > 0))
-        u, v = u[u < v], v[u < v]
+            common += part[a] @ part[b].T
+        union = size[a][:, None] + size[b][None, :] - common
+        u, v = np.nonzero(ask & (100 * common >= share * union) & (common > 0))
+        u, v = a[u], b[v]
         component = group.column("component").to_numpy()
         ends = np.sort(np.stack([component[u], component[v]], axis=1), axis=1)
         _, one = np.unique(ends, axis=0, return_index=True)
