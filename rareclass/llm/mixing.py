@@ -86,7 +86,8 @@ def pareto_copies(rows: DataFrame) -> DataFrame:
     budget = ranked.groupBy("source").agg(F.sum("budget_part").cast("double").alias("budget"))
     placed = running(ranked, ["source"], ["rank", "doc_id", "size", "draw", "n"], sums=["size"], name="mix-order")
     inside = F.expr("chance > 0 and 2 * run_size - size < 2 * budget")
-    judged = placed.join(budget, "source").withColumn("inside", inside)
+    # Written before it is summed, so that the join may split a source that holds most rows.
+    judged = materialize(placed.join(budget, "source").withColumn("inside", inside), "mix-judged")
     gap = judged.groupBy("source").agg((F.first("budget") - F.sum(F.when(F.col("inside"), F.col("size")).otherwise(0))).alias("gap"))
     order = F.struct(F.abs(F.col("gap") - F.col("size")), "rank", "place")
     closing = (judged.where("not inside and chance > 0 and size > 0").join(gap, "source").where("abs(gap - size) < abs(gap)")
