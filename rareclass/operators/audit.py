@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rareclass.config import FEATURES, ROW_ID, TARGET
@@ -86,6 +86,38 @@ def fingerprint(df: DataFrame, columns: list[str], portable: bool = False) -> Da
     return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row_hash(columns, portable)).alias("digest"))
 
 
+def _path(column: Column) -> Column:
+    """One way to write a local file's address; sources differ in the slashes after the scheme."""
+    return F.regexp_replace(column, "^file:/+", "file:/")
+
+
+def file_digests(spark: SparkSession, path: str, columns: list[str], known: DataFrame | None = None,
+                 portable: bool = False) -> DataFrame:
+    """``(file, changed_at, bytes, rows, digest)`` of every parquet file under ``path``.
+
+    Files of ``known``, an earlier result, are not read again unless their size or time differ;
+    those that are gone drop out. The list of files to read passes through the driver, as it
+    does in every scan.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+              .select(_path(F.col("path")).alias("file"), F.col("modificationTime").alias("changed_at"), F.col("length").alias("bytes")))
+    same = ["file", "changed_at", "bytes"]
+    fresh = listed if known is None else listed.join(known, same, "left_anti")
+    told = None if known is None else known.join(listed, same, "left_semi")
+    paths = [r["file"] for r in fresh.collect()]
+    if paths:
+        hashed = (spark.read.parquet(*paths).groupBy(_path(F.col("_metadata.file_path")).alias("file"))
+                  .agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(row_hash(columns, portable)).alias("digest")))
+        new = fresh.join(hashed, "file", "left").select(*same, F.coalesce("rows", F.lit(0)).alias("rows"), "digest")
+        return new if told is None else told.unionByName(new)
+    return told if told is not None else fresh.withColumns({"rows": F.lit(0).cast("bigint"), "digest": F.lit(None).cast("bigint")})
+
+
+def merged_fingerprint(digests: DataFrame) -> DataFrame:
+    """The ``fingerprint`` of the whole table, from those of its files."""
+    return digests.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.bit_xor("digest").alias("digest"))
+
+
 def provenance(df: DataFrame, expected_rows: int, expected_frauds: int, expected_digest: int,
                columns: list[str], label: str = TARGET, portable: bool = False) -> DataFrame:
     """Compare rows, positives and digest with the recorded values, in one pass."""

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from rareclass.config import COMPONENTS, FEATURES, NON_NEGATIVE, ROW_ID, TARGET
 from rareclass.operators import audit, contract, split
 from rareclass.plans.catalog import query, rounded
-from rareclass.plans.fixture import raw_transactions, table, text_transactions, transactions
+from rareclass.plans.fixture import NULL_PERIOD, raw_transactions, table, text_transactions, transactions
 from rareclass.plans.oracle import FOLDED, RANKED, hash_sql, rnd, sql, text_missing, text_number, union
+from rareclass.session import materialize, shared_dir
+from rareclass.sources.transactions import malformed_rows
 
 COLUMNS = [*FEATURES, TARGET]
 LINE_KEY = ["l_quantity", "l_discount", "l_tax"]
@@ -146,6 +148,30 @@ def fingerprint(spark, d):
     return audit.fingerprint(transactions(spark, d), [ROW_ID, TARGET], portable=True)
 
 
+@query("merged_fingerprint", """SELECT COUNT(*) AS rows, bit_xor(CAST('0x' || substr(md5(concat_ws('|',
+ CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 15) AS BIGINT)) AS digest FROM lineitem""")
+def merged_fingerprint(spark, d):
+    """The digest of a table from those of its files; a second look reads none of them again."""
+    columns = ["l_orderkey", "l_linenumber"]
+    first = materialize(audit.file_digests(spark, f"{d}/lineitem.parquet", columns, portable=True), "file-digests")
+    return audit.merged_fingerprint(audit.file_digests(spark, f"{d}/lineitem.parquet", columns, first, portable=True))
+
+
+@query("malformed_records", f"""SELECT CASE WHEN o_orderkey % {NULL_PERIOD} = 1 THEN 'too_many_fields' ELSE 'too_few_fields' END AS reason,
+ CASE WHEN o_orderkey % {NULL_PERIOD} = 1 THEN 4 ELSE 2 END AS fields, 3 AS expected, COUNT(*) AS records
+ FROM orders WHERE o_orderkey % {NULL_PERIOD} IN (1, 2) GROUP BY ALL""")
+def malformed_records(spark, d):
+    """Records of the orders as CSV, some with a field too many or too few."""
+    r, path = F.col("o_orderkey") % NULL_PERIOD, shared_dir(spark, "malformed")
+    fields = F.when(r == 1, F.array("key", "status", F.lit('"a, b"'), F.lit("x"))).when(r == 2, F.array("key", "status")).otherwise(
+        F.array("key", "status", F.lit('"a, b"')))
+    lines = (table(spark, d, "orders").withColumns({"key": F.col("o_orderkey").cast("string"), "status": F.col("o_orderstatus")})
+             .select(F.array_join(fields, ",").alias("o_orderkey,o_orderstatus,note")))
+    # Written as one column, so that the lines stay as they are.
+    lines.write.option("header", True).option("sep", "|").option("quote", "").csv(path)
+    return malformed_rows(spark, path).groupBy("reason", "fields", "expected").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query("provenance_check", sql(
     f"""SELECT 'as recorded' AS record, COUNT(*) AS rows, CAST(SUM(Class) AS BIGINT) AS frauds, {_DIGEST} AS digest, TRUE AS as_expected FROM tx
  UNION ALL SELECT 'a row fewer', COUNT(*), CAST(SUM(Class) AS BIGINT), {_DIGEST}, FALSE FROM tx

@@ -344,17 +344,22 @@ def _run(stream, spark, name):
     return spark.read.parquet(out)
 
 
+def _routed(spark, d, name):
+    """One table of a pass that writes scored and rejected rows side by side."""
+    out, check = shared_dir(spark, "stream-routed"), shared_dir(spark, "stream-routed-checkpoint")
+    alerts.write_routed(_event_stream(spark, d), alerts.scored_and_rejected(_score_rows), out, check).awaitTermination()
+    return alerts.read_routed(spark, out, name)
+
+
 @query("stream_scored", sql(f"""SELECT row_id, fraud_probability, CASE WHEN fraud_probability >= {THRESHOLD} THEN 1 ELSE 0 END AS predicted_class
  FROM ({_SCORED}) WHERE {_FINITE}""", "tx"))
 def stream_scored(spark, d):
-    good, _ = alerts.scored_stream(_event_stream(spark, d), _score_rows)
-    return _run(good.select(ROW_ID, score.SCORE, "predicted_class"), spark, "stream-scored")
+    return _routed(spark, d, "scored").select(ROW_ID, score.SCORE, "predicted_class")
 
 
 @query("stream_rejected", sql(f"SELECT row_id FROM tx WHERE NOT ({_FINITE})", "tx"))
 def stream_rejected(spark, d):
-    _, bad = alerts.scored_stream(_event_stream(spark, d), _score_rows)
-    return _run(bad.select(ROW_ID), spark, "stream-rejected")
+    return _routed(spark, d, "rejected").select(ROW_ID)
 
 
 @query("stream_dedup", sql("SELECT row_id, Amount FROM tx", "tx"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -46,8 +47,16 @@ def _described(pipeline: PipelineModel, scaler: MixedScalerModel, selected: list
     return {k: hashlib.sha256(json.dumps(v).encode()).hexdigest() for k, v in told.items()}
 
 
+# Stands for what is being written.
+_OPEN = {"unfinished": True}
+
+
 def save_bundle(spark: SparkSession, pipeline: PipelineModel, metadata: dict, path: str) -> None:
-    """Whole pipeline, preprocessing prefix, scaler, selected features and metadata."""
+    """Whole pipeline, preprocessing prefix, scaler, selected features and metadata.
+
+    The metadata make the bundle valid: they go before any part is replaced, and come last.
+    """
+    write_json(spark, json.dumps(_OPEN), f"{path}/metadata")
     selected = stage_of(pipeline, MutualInformationSelectorModel).selected_features()
     scaler = stage_of(pipeline, MixedScalerModel)
     pipeline.write().overwrite().save(f"{path}/pipeline")
@@ -82,7 +91,10 @@ def _faults(spark: SparkSession, metadata: dict, found: dict[str, str]) -> list[
 def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
     """Read all parts, then report every way in which they do not fit together."""
     try:
-        metadata, selected = (json.loads(read_json(spark, f"{path}/{n}")) for n in ("metadata", "selected_features"))
+        metadata = json.loads(read_json(spark, f"{path}/metadata"))
+        if metadata == _OPEN:
+            raise ArtifactError(f"The bundle under {path} is incomplete: it was not written to its end.")
+        selected = json.loads(read_json(spark, f"{path}/selected_features"))
         pipeline, prefix = (PipelineModel.load(f"{path}/{n}") for n in ("pipeline", "prefix"))
         scaler = MixedScalerModel.load(f"{path}/scaler")
         faults = _faults(spark, metadata, _described(pipeline, scaler, selected))
@@ -96,11 +108,16 @@ def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
     return ModelBundle(pipeline, prefix, scaler, selected, metadata)
 
 
-MANIFEST_SCHEMA = "stage string, config string, digest string, payload string, step bigint"
+MANIFEST_SCHEMA = "stage string, config string, digest string, payload string, step bigint, state string, token string"
 
 
 class Manifest:
-    """Finished stages as rows ``(stage, config, digest, payload)``; the latest step counts."""
+    """Stages as rows ``(stage, config, digest, payload)``; of a stage the latest generation counts.
+
+    A row is one file, which is there as a whole or not at all. A stage that replaces tables in
+    place says so before its first write (``begin``) and again after its last (``record``): a
+    run that is killed between leaves an open generation, and its tables count as nobody's.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, f"{path}/manifest"
@@ -111,19 +128,23 @@ class Manifest:
         except AnalysisException:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
+    def _newest(self, rows: DataFrame):
+        """Two writers may take one number; the token then tells which of them counts, for all readers alike."""
+        return rows.orderBy(F.desc("step"), F.desc("token")).first()
+
     def latest(self, stage: str):
-        return self.rows().where(f"stage = '{stage}'").orderBy("step", ascending=False).first()
+        return self._newest(self.rows().where(F.col("stage") == stage))
 
     def finished(self, stage: str, config: TrainingConfig, digest: str) -> dict | None:
         """Payload of the stage if it was finished with this configuration and data."""
-        mine = (F.col("config") == config.to_json()) & (F.col("digest") == digest)
-        row = self.rows().where(F.col("stage") == stage).where(mine).orderBy("step", ascending=False).first()
+        mine = (F.col("config") == config.to_json()) & (F.col("digest") == digest) & (F.col("state") == "done")
+        row = self._newest(self.rows().where(F.col("stage") == stage).where(mine))
         return None if row is None else json.loads(row["payload"])
 
     def current(self, stage: str, config: TrainingConfig, digest: str) -> bool:
-        """Whether the stage's tables in the folder are those of this configuration and data."""
+        """Whether the stage's tables in the folder are whole, and those of this configuration and data."""
         row = self.latest(stage)
-        return row is not None and (row["config"], row["digest"]) == (config.to_json(), digest)
+        return row is not None and (row["config"], row["digest"], row["state"]) == (config.to_json(), digest, "done")
 
     def require(self, stage: str, config: TrainingConfig, digest: str) -> dict | None:
         """As :meth:`finished`, but a record of other data or settings is an error."""
@@ -132,7 +153,14 @@ class Manifest:
             raise ArtifactError(f"The saved stage '{stage}' does not match this dataset or configuration.")
         return found
 
+    def begin(self, stage: str, config: TrainingConfig, digest: str) -> None:
+        """The stage's tables are about to be replaced."""
+        self._append(stage, config, digest, {}, "open")
+
     def record(self, stage: str, config: TrainingConfig, digest: str, payload: dict) -> None:
-        step = self.rows().count()
-        row = (stage, config.to_json(), digest, json.dumps(payload, default=str), step)
+        self._append(stage, config, digest, payload, "done")
+
+    def _append(self, stage: str, config: TrainingConfig, digest: str, payload: dict, state: str) -> None:
+        step = (self.rows().agg(F.max("step")).first()[0] or 0) + 1
+        row = (stage, config.to_json(), digest, json.dumps(payload, default=str), step, state, uuid.uuid4().hex)
         append_rows(self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1), self.path)

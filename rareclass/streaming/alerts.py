@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from rareclass.functions.hashing import content_key
 from rareclass.operators.contract import quarantine
@@ -25,21 +26,49 @@ def stream_parquet(spark: SparkSession, path: str, schema=None, files_per_trigge
     return reader.parquet(path)
 
 
-def unique_rows(stream: DataFrame, columns: list[str], delay: str, time: str = "ts") -> DataFrame:
-    """First copy of each row; the state holds one digest per row within the watermark.
+def unique_rows(stream: DataFrame, columns: list[str], keep: str) -> DataFrame:
+    """First copy of each row; a copy that arrives within ``keep`` of it is dropped.
 
-    Rows later than ``delay`` behind the newest time that an earlier micro-batch has shown are
-    dropped by the watermark. It must cover how far out of order the source can be: for a
-    backlog whose files are in no order of time, the whole span of the backlog.
+    The state is keyed by a digest of the row and expires by the time of arrival, not by the
+    row's own time: a row that comes late, however late, has its first copy passed on, and a
+    backlog in no order of time loses nothing. ``keep`` bounds the state to the rows of that
+    much wall time; a copy that arrives later than that counts as new.
     """
-    keyed = stream.withColumn("_key", content_key(*columns)).withWatermark(time, delay)
-    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+    keyed = stream.withColumn("_key", content_key(*columns)).withColumn("_arrived", F.current_timestamp())
+    return keyed.withWatermark("_arrived", keep).dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_arrived")
 
 
-def scored_stream(stream: DataFrame, score_rows) -> tuple[DataFrame, DataFrame]:
-    """(scored rows, rejected rows); ``score_rows`` is the batch scorer, a narrow transform."""
-    valid, rejected = quarantine(stream)
-    return score_rows(valid), rejected
+def scored_and_rejected(score_rows):
+    """A route that tells rows that can be scored from those that cannot; ``score_rows`` is the batch scorer."""
+    def route(batch: DataFrame) -> dict[str, DataFrame]:
+        valid, rejected = quarantine(batch)
+        return {"scored": score_rows(valid), "rejected": rejected}
+
+    return route
+
+
+def write_routed(stream: DataFrame, route, folder: str, checkpoint: str) -> StreamingQuery:
+    """Read the source once and write every table that ``route(batch)`` names; process what there is, and stop.
+
+    A batch is written to a folder named by its number, in each table. A batch that is run
+    again, after a failure between two tables or of the query itself, replaces its own folders
+    and nothing else, so each row is in the tables exactly once.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, rows in route(batch).items():
+                rows.write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_routed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """All batches of one table of ``write_routed``."""
+    return spark.read.parquet(f"{folder}/{name}").drop("batch")
 
 
 def window_summary(scored: DataFrame, time: str = "ts", window: str = "1 day", delay: str = "1 hour") -> DataFrame:

@@ -1,12 +1,15 @@
+import os
+
 import numpy as np
 import pytest
 from fixtures import as_text, transactions_frame
+from pyspark.sql import functions as F
 
 from rareclass.config import FEATURES
 from rareclass.errors import DatasetError, PredictionError
 from rareclass.operators import audit, contract
 from rareclass.sources.sinks import write_csv
-from rareclass.sources.transactions import load_scoring, load_training, read_results, read_text_csv
+from rareclass.sources.transactions import load_scoring, load_training, malformed_rows, read_results, read_text_csv
 
 
 def test_good_table_passes_and_is_typed(spark, tmp_path):
@@ -84,6 +87,18 @@ def test_a_csv_with_an_index_column(spark, tmp_path):
     assert load_scoring(spark, path).count() == 600
 
 
+def test_records_that_do_not_fit_the_header(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('a,b,c\n1,2,3\n4,5\n"x, y",2,\n6,7,8,9\n"p, q",1,2,3\n')
+    told = {r["record"]: (r["fields"], r["expected"], r["reason"]) for r in malformed_rows(spark, str(path)).collect()}
+    assert told == {"4,5": (2, 3, "too_few_fields"), "6,7,8,9": (4, 3, "too_many_fields"), '"p, q",1,2,3': (4, 3, "too_many_fields")}
+    with pytest.raises(DatasetError, match="2 records have more than the 3 fields"):
+        read_text_csv(spark, str(path))
+    path.write_text('a,b,c\n1,2,3\n4,5\n')  # what a short record lacks is missing
+    assert [tuple(r) for r in read_text_csv(spark, str(path)).collect()] == [("1", "2", "3"), ("4", "5", None)]
+    assert malformed_rows(spark, str(path)).count() == 1
+
+
 def test_text_none_survives_a_round_trip(spark, tmp_path):
     path = str(tmp_path / "results")
     write_csv(spark.createDataFrame([("a", "None", 1.0)], "experiment string, imbalance string, f1 double"), path)
@@ -116,6 +131,25 @@ def test_fingerprint_ignores_order_and_partitions(spark):
     assert a == b and a["digest"] != c["digest"]
 
 
+def test_only_new_files_are_hashed(spark, tmp_path):
+    path, columns = str(tmp_path / "table"), ["id", "x"]
+    df = spark.range(100).selectExpr("id", "id % 7 as x")
+    df.where("id < 60").repartition(3).write.parquet(path)
+    first = audit.file_digests(spark, path, columns)
+    first = spark.createDataFrame(first.collect(), first.schema)  # as it was then
+    assert first.count() == 3 and first.agg({"rows": "sum"}).first()[0] == 60
+    df.where("id >= 60").coalesce(1).write.mode("append").parquet(path)
+    told = first.withColumn("digest", F.lit(5).cast("bigint"))  # what is known is taken as it is
+    both = {r["file"]: r["digest"] for r in audit.file_digests(spark, path, columns, told).collect()}
+    assert len(both) == 4 and list(both.values()).count(5) == 3
+    merged = audit.merged_fingerprint(audit.file_digests(spark, path, columns, first)).first()
+    assert merged == audit.fingerprint(spark.read.parquet(path), columns).first()
+    gone = first.collect()[0]["file"].removeprefix("file:")
+    os.remove(gone)
+    left = audit.file_digests(spark, path, columns, first)
+    assert left.count() == 3 and audit.merged_fingerprint(left).first() == audit.fingerprint(spark.read.parquet(path), columns).first()
+
+
 def test_quarantine_covers_every_row(spark):
     frame = transactions_frame(50, 5)
     frame.loc[1, "V7"] = np.nan

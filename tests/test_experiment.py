@@ -11,6 +11,7 @@ from rareclass.config import FEATURES, TARGET, TrainingConfig
 from rareclass.errors import ArtifactError, DatasetError, PredictionError
 from rareclass.operators import compare, features, models, score
 from rareclass.plans import experiment
+from rareclass.sources import registry
 from rareclass.sources.registry import Manifest, load_bundle, save_bundle
 from rareclass.sources.sinks import read_json, read_members, write_json, write_scored
 
@@ -151,6 +152,81 @@ def test_bundle_guards(spark, tmp_path):
             load_bundle(spark, path)
 
 
+class Killed(RuntimeError):
+    pass
+
+
+def killed_at(monkeypatch, name, n=1, module=experiment):
+    """The ``n``-th call of a writer ends the run."""
+    write, calls = getattr(module, name), []
+
+    def once(*args, **kw):
+        calls.append(1)
+        if len(calls) == n:
+            raise Killed(name)
+        return write(*args, **kw)
+
+    monkeypatch.setattr(module, name, once)
+
+
+@pytest.mark.parametrize("writer, n", [("write_table", 2), ("write_records", 1), ("write_members", 1), ("write_csv", 2)])
+def test_a_run_killed_between_two_tables_is_made_again(spark, tmp_path, writer, n):
+    folder, raw = str(tmp_path / "run"), as_text(spark, signal_frame())
+    first = experiment.prepare(spark, raw, folder, CONFIG)
+    names = ["audit", "members", "split"]
+    read = lambda: [sorted(map(str, (spark.read.json if x == "audit" else spark.read.parquet)(f"{folder}/{x}").collect())) for x in names]
+    before = read()
+    with pytest.MonkeyPatch.context() as patch:  # other settings replace some of the tables
+        killed_at(patch, writer, n)
+        with pytest.raises(Killed):
+            experiment.prepare(spark, raw, folder, replace(CONFIG, seed=7))
+    manifest = Manifest(spark, folder)
+    assert not manifest.current("prepare", CONFIG, first.digest)
+    assert manifest.finished("prepare", CONFIG, first.digest) == {"rows": 600}
+    experiment.prepare(spark, raw, folder, CONFIG)
+    assert read() == before and manifest.current("prepare", CONFIG, first.digest)
+
+
+def test_a_fit_or_bundle_killed_half_way_is_not_used(spark, run, tmp_path):
+    folder, raw, _ = run
+    p = experiment.prepare(spark, raw, folder, CONFIG)
+    p = experiment.Prepared(spark, str(tmp_path), CONFIG, p.digest, p.split)
+    frames = experiment.shared_frames(p.part("train").drop("partition"), {"validation": p.part("validation").drop("partition")}, CONFIG)
+    fit = lambda resume: experiment._fit_and_describe(
+        p, frames, "Decision Tree", False, "baseline", models.default_params("Decision Tree", CONFIG), resume)
+    done = fit(False)
+    with pytest.MonkeyPatch.context() as patch:
+        killed_at(patch, "write_table")
+        with pytest.raises(Killed):
+            fit(False)
+    name = models.experiment_key("Decision Tree", False, "baseline")
+    assert experiment.finished_fit(p, name) is None
+    told = lambda r: {k: v for k, v in r.items() if k != "fit_seconds"}
+    assert told(fit(True)) == told(done) and told(experiment.finished_fit(p, name)) == told(done)
+    clf = models.fit_classifier(frames.fit_rows[False], "Decision Tree", models.default_params("Decision Tree", CONFIG), 42)
+    path, model = str(tmp_path / "bundle"), models.assemble(frames.prefix, clf)
+    save_bundle(spark, model, {"threshold": 0.4}, path)
+    with pytest.MonkeyPatch.context() as patch:
+        killed_at(patch, "write_json", 2, registry)
+        with pytest.raises(Killed):
+            save_bundle(spark, model, {"threshold": 0.6}, path)
+    with pytest.raises(ArtifactError, match="incomplete"):
+        load_bundle(spark, path)
+    save_bundle(spark, model, {"threshold": 0.6}, path)
+    assert load_bundle(spark, path).metadata["threshold"] == 0.6
+
+
+def test_writers_with_one_number_are_told_apart(spark, tmp_path):
+    one = Manifest(spark, str(tmp_path))
+    one.record("s", CONFIG, "d", {"n": 1})
+    row = one.rows().first()
+    twin = (*row[:3], '{"n": 2}', row["step"], "done", "0" * 32)
+    spark.createDataFrame([twin], one.rows().schema).coalesce(1).write.mode("append").parquet(one.path)
+    assert {Manifest(spark, str(tmp_path)).finished("s", CONFIG, "d")["n"] for _ in range(3)} == {1}
+    one.begin("s", CONFIG, "d")
+    assert not one.current("s", CONFIG, "d") and one.finished("s", CONFIG, "d") == {"n": 1}
+
+
 def test_settings_are_checked():
     for bad in (TrainingConfig(tuning_iterations=0), TrainingConfig(tuning_max_rows=500), TrainingConfig(n_jobs=0)):
         with pytest.raises(DatasetError):
