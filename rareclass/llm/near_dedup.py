@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rareclass.llm.components import connected_components
 from rareclass.llm.words import RangeHash, Words, mix, pieces, words
+from rareclass.llm.workers import bound_batches, release
 from rareclass.session import materialize
 
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -110,7 +111,10 @@ def _fixed_binary(rows: np.ndarray) -> pa.Array:
 def sign(docs: DataFrame, config: NearDedupConfig) -> DataFrame:
     """``(doc_id, text_key, n_shingles, set_a, set_b, minima)``; an empty set has null minima."""
 
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for piece in pieces(batches, "text"):
             text, value = shingle_sets(words(piece.column("text"), lower=True), config.shingle_words)
             first = np.searchsorted(text, np.arange(piece.num_rows + 1))

@@ -11,7 +11,6 @@ padding.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import itertools
 import json
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rareclass.llm.words import pieces, words
+from rareclass.llm.workers import bound_batches, held
 
 
 @dataclass(frozen=True)
@@ -178,11 +178,10 @@ class WordTokens:
         return self.ids.data[np.repeat(first - ends[:-1], count) + np.arange(ends[-1])], ends[w.first]
 
 
-@functools.lru_cache(maxsize=1)
 def word_tokens(path: str, limit: int) -> WordTokens:
     """One encoder per worker process, whose words the next tasks find learned."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
-    return WordTokens(path, limit)
+    return held(("words", path, limit), lambda: WordTokens(path, limit))
 
 
 class Room:
@@ -265,6 +264,8 @@ def pack(docs: DataFrame, config: PackingConfig) -> DataFrame:
     tokens, but for the last few of a group, whose lengths are powers of two.
     """
 
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(config.tokenizer, config.cached_words)
         base = TaskContext.get().partitionId() << 40

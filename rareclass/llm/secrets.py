@@ -8,7 +8,6 @@ unless they are known digests or identifiers.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -18,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareclass.llm.words import pieces
+from rareclass.llm.words import kept_and_text, pieces
+from rareclass.llm.workers import bound_batches, held
 
 # The base patterns. Letters of the words before an assignment count in either case.
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -124,10 +124,9 @@ class Scanner:
         return base, sorted(base + self.random_spans(text, base))
 
 
-@functools.lru_cache(maxsize=1)
 def scanner_of(config: SecretConfig) -> Scanner:
     """One encoding per worker process."""
-    return Scanner(config)
+    return held(("secrets", config), lambda: Scanner(config))
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -152,9 +151,8 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
     ``redacted`` is null where nothing was found.
     """
     keep = ["doc_id"] if keep is None else keep
-    own = [f"k_{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, own)],
-                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    bound_batches(docs.sparkSession)
+    source, own = kept_and_text(docs, keep)
     names = ["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans", "redacted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +160,7 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
         for piece in pieces(batches, "text"):
             columns: list[list] = [[] for _ in names]
             for text in piece.column("text").to_pylist():
+                text = text or ""
                 base, spans = scanner.spans(text)
                 counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)] if spans else [0] * 4
                 row = [*counts, hashlib.sha256(_told(base).encode()).hexdigest(), _told(spans),
@@ -172,7 +171,7 @@ def scan(docs: DataFrame, config: SecretConfig, keep: list[str] | None = None) -
             yield pa.RecordBatch.from_arrays(
                 [piece.column(c) for c in own] + [pa.array(c, t) for c, t in zip(columns, types)], names=own + names)
 
-    out = source.drop("text").schema
+    out = source.select(*own).schema
     for name in names:
         out = out.add(name, "long" if name.startswith("n_") else "string")
     return source.mapInArrow(run, out).select(*[F.col(n).alias(c) for c, n in zip(keep, own)], *names)

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -19,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rareclass.llm.workers import held
+
 SPACE_MARK = "▁"  # fixed value: how a vocabulary writes a space
 _UNIT = re.compile(" *[^ ]+| +")
 
@@ -114,10 +115,9 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
-@lru_cache(maxsize=1)
 def vocabulary_of(config: PieceConfig) -> Vocabulary:
     """One automaton per worker process, whose units the next tasks find solved."""
-    return Vocabulary(config)
+    return held(("pieces", config), lambda: Vocabulary(config))
 
 
 def encode(docs: DataFrame, config: PieceConfig, keep: list[str] | None = None) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rareclass.llm.samples import hash_sample
-from rareclass.llm.words import RangeHash, Words, pieces, words
+from rareclass.llm.words import RangeHash, Words, kept_and_text, pieces, words
+from rareclass.llm.workers import bound_batches, release
 from rareclass.session import materialize
 
 
@@ -83,7 +84,10 @@ def word_grams(w: Words, at: np.ndarray, config: ToxicityConfig) -> tuple[np.nda
 def features(docs: DataFrame, config: ToxicityConfig) -> DataFrame:
     """``(toxic, places, counts)``: the sparse features of each row of ``docs(toxic, text)``."""
 
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for piece in pieces(batches, "text"):
             w = words(piece.column("text"), lower=True)
             at, text, word = _distinct(w)
@@ -163,11 +167,12 @@ def fit(rows: DataFrame, config: ToxicityConfig = ToxicityConfig()) -> ToxicityM
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """The columns in ``keep`` and ``score`` (0 to 1) for every row; null texts are empty."""
-    names = [f"k_{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col("text").cast("string").alias("text"))
+    bound_batches(docs.sparkSession)
+    source, names = kept_and_text(docs, keep)
     weights, bias, config = model.weights.astype(np.float64), model.bias, model.config
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for piece in pieces(batches, "text"):
             w = words(piece.column("text"), lower=True)
             at, text, word = _distinct(w)
@@ -178,7 +183,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
                 [piece.column(c) for c in names] + [pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))],
                 names=[*names, "score"])
 
-    out = source.drop("text").schema.add("score", "double")
+    out = source.select(*names).schema.add("score", "double")
     return source.mapInArrow(run, out).select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "score")
 
 

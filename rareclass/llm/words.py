@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
@@ -93,6 +95,17 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE) ->
             row = end
 
 
+def kept_and_text(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """(rows with the columns in ``keep`` under names of their own and ``text``, those names).
+
+    A kept text column of strings is not sent twice: it is ``text`` itself.
+    """
+    same = dict(docs.dtypes).get("text") == "string"
+    own = ["text" if c == "text" and same else f"k_{i}" for i, c in enumerate(keep)]
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(keep, own) if n != "text"]
+    return docs.select(*columns, F.col("text").cast("string").alias("text")), own
+
+
 @dataclass
 class Words:
     """Words of some texts: byte range, hash, and for each text its range of words."""
