@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rareclass.config import FEATURES, TrainingConfig
 from rareclass.errors import DatasetError
-from rareclass.operators import features, models, profile, resample
+from rareclass.operators import features, logistic, models, profile, resample
 from rareclass.operators.neighbors import leaf_visits, nearest_neighbors, squared_distances
 
 
@@ -211,3 +211,26 @@ def test_stage_persistence(spark, tmp_path):
     again = PipelineModel.load(path)
     a, b = (m.transform(df).select("row_id", vector_to_array("features").alias("x")) for m in (model, again))
     assert a.exceptAll(b).isEmpty()
+
+
+def test_logistic_fits_side_by_side_equal_single_fits(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 6)) * [1, 1, 5, .1, 1, 1]
+    y = (rng.random(900) < 1 / (1 + np.exp(2 - x[:, 0] - .3 * x[:, 2]))).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), float(t)) for i, (v, t) in enumerate(zip(x, y))], "row_id long, x array<double>, Class double")
+    df = df.select("row_id", array_to_vector("x").alias("features"), "Class").repartition(4).persist()
+    space = [{"C": c, "tol": 1e-9} for c in (.01, .1, 1.0, 10.0)]
+    weights = logistic.fit_together(df, space)
+    names = [str(q["C"]) for q in space]
+    scores = {(r["experiment"], r["row_id"]): r["score"] for r in logistic.scores_together(df, weights, names, ["row_id"]).collect()}
+    assert len(scores) == 4 * 900
+    for q, w in zip(space, weights):
+        single = models.fit_classifier(df, "Logistic Regression", {**q, "tol": 1e-12}, 1)
+        assert np.allclose(w[:-1], single.coefficients.toArray(), atol=2e-4) and w[-1] == pytest.approx(single.intercept, abs=2e-4)
+        for r in models.positive_score(df.limit(20), single, ["row_id"]).collect():
+            assert scores[str(q["C"]), r["row_id"]] == pytest.approx(r["score"], abs=1e-4)
+    # Separable rows and a strong signal need shorter steps and still settle.
+    far = df.withColumn("Class", F.expr("double(row_id % 2)")).withColumn("features", array_to_vector(F.array(F.expr("double(row_id % 2) * 50 - 25"))))
+    assert np.isfinite(logistic.fit_together(far, space)).all()
