@@ -69,7 +69,7 @@ def make_classifier(algorithm: str, params: dict, train_rows: int, seed: int, la
         return DecisionTreeClassifier(impurity=params["criterion"], **tree)
     if algorithm == "Random Forest":
         return RandomForestClassifier(
-            numTrees=params["n_estimators"], subsamplingRate=params["max_samples"],
+            numTrees=params["n_estimators"], subsamplingRate=params["max_samples"], bootstrap=params.get("bootstrap", True),
             featureSubsetStrategy=str(params["max_features"]), **tree)
     raise ValueError(f"Unknown algorithm: {algorithm}")
 
