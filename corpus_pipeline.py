@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rareclass.llm import line_dedup, near_dedup, packing, secrets, toxicity
 from rareclass.llm.queries import secret_config, table, tokenizer_path
-from rareclass.session import materialize, shared_dir
+from rareclass.session import discard, materialize, scratch, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -76,10 +76,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again before the next.
+
+    What a stage has written on its way goes when it is done, its input when the next has read it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark, keep=(path,)):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        discard(spark, *before)
+        docs, before = spark.read.parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import functools
 import os
 import shutil
@@ -53,11 +55,43 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
         root = _scratch()
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    for made in _scopes.get():
+        made.append(path)
+    return path
+
+
+_scopes: contextvars.ContextVar[tuple[list, ...]] = contextvars.ContextVar("scratch", default=())
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, wherever they are; what is not there is no error."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, keep: tuple[str, ...] = ()):
+    """Inside, work is done to its end: shared folders that this thread makes here go afterwards, but for ``keep``.
+
+    After an error they go as well, so that a run that is made again finds room.
+    """
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        discard(spark, *[p for p in made if p not in keep])
 
 
 def materialize(df, name: str):
-    """Write ``df`` once to the shared folder and read it back, which cuts its lineage."""
+    """Write ``df`` once to the shared folder and read it back, which cuts its lineage.
+
+    The folder stays as long as a result may read it: ``scratch`` bounds that where the work
+    is known to be done.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
