@@ -18,7 +18,8 @@ LINE_KEY = ["l_quantity", "l_discount", "l_tax"]
 
 # --- contract -----------------------------------------------------------------------------
 
-def _violation_sql() -> str:
+def _violation_sql(rows: str = "texts", **kw) -> str:
+    """Every broken rule, from the texts or from what ``extra`` makes of them."""
     cells = []
     for c in COLUMNS:
         x = text_number(c)
@@ -29,14 +30,14 @@ def _violation_sql() -> str:
             tests += [("infinite", f"ABS({x}) = 'inf'::DOUBLE")]
         if c in NON_NEGATIVE:
             tests += [("negative", f"{x} < 0")]
-        cells += [f"SELECT '{t}' AS \"check\", '{c}' AS column_name, COUNT(*) FILTER ({cond}) AS rows FROM texts"
+        cells += [f"SELECT '{t}' AS \"check\", '{c}' AS column_name, COUNT(*) FILTER ({cond}) AS rows FROM {rows}"
                   for t, cond in tests]
         if c != TARGET:
-            cells.append(f"SELECT 'entirely_missing', '{c}', CASE WHEN COUNT({x}) = 0 THEN COUNT(*) ELSE 0 END FROM texts")
+            cells.append(f"SELECT 'entirely_missing', '{c}', CASE WHEN COUNT({x}) = 0 THEN COUNT(*) ELSE 0 END FROM {rows}")
     for v in (0, 1):
         n = f"COUNT(*) FILTER ({text_number(TARGET)} = {v})"
-        cells.append(f"SELECT 'few_rows', '{TARGET}={v}', CASE WHEN {n} < 30 THEN 30 - {n} ELSE 0 END FROM texts")
-    return sql(f"SELECT * FROM ({union(cells)}) WHERE rows > 0", "texts")
+        cells.append(f"SELECT 'few_rows', '{TARGET}={v}', CASE WHEN {n} < 30 THEN 30 - {n} ELSE 0 END FROM {rows}")
+    return sql(f"SELECT * FROM ({union(cells)}) WHERE rows > 0", "texts", **kw)
 
 
 @query("contract_violations", _violation_sql())
@@ -44,6 +45,15 @@ def contract_violations(spark, d):
     return contract.training_violations(text_transactions(spark, d))
 
 
+# Rules that the test view does not break: a feature without a value, a class of few rows.
+@query("contract_violations_of_a_spoilt_table", _violation_sql("spoilt", extra=[(
+    "spoilt", f"SELECT * REPLACE ('' AS V5, CASE WHEN row_id < 12 THEN '1' ELSE '0' END AS {TARGET}) FROM texts")]))
+def contract_violations_of_a_spoilt_table(spark, d):
+    spoilt = text_transactions(spark, d).withColumns({
+        "V5": F.lit(""), TARGET: F.when(F.col(ROW_ID) < 12, "1").otherwise("0")})
+    return contract.training_violations(spoilt)
+
+
 def _scoring_sql() -> str:
     cells = []
     for c in FEATURES:
