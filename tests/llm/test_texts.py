@@ -201,6 +201,50 @@ def test_secrets_beside_base_spans():
     assert len(scanner.spans(many)[0]) == 20_000 and time.perf_counter() - start < 5
 
 
+def masked(text, spans):
+    """Every maximal run of covered characters is one mark."""
+    hit = [False] * len(text)
+    for start, end in spans:
+        hit[start:end] = [True] * (end - start)
+    out = []
+    for i, c in enumerate(text):
+        if not hit[i]:
+            out.append(c)
+        elif i == 0 or not hit[i - 1] or any(start == i for start, _ in spans) and not any(s < i < e for s, e in spans):
+            out.append("[SECRET]")
+    return "".join(out)
+
+
+def test_random_spans_equal_brute_force(spark, sf):
+    """The token test on every candidate of every text, character by character."""
+    config, rng = secret_config(), random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(120).collect()]
+    for i in range(120):  # random strings, with and without base spans in or around them
+        key = "".join(rng.choices(letters[:62] if i % 2 else letters, k=rng.randrange(10, 50)))
+        around = rng.choice(["{}", "token={}", "x {}0123456789abcdef01234567{}", "AKIA{}", "{} {}", "d41d8cd98f00b204e9800998ecf8427e{}"])
+        rows.append((10_000 + i, "some text " + around.replace("{}", key) + " and more"))
+    scanner, inside = secrets.Scanner(config), set(letters)
+    for r in secrets.scan(frame(spark, rows), config, ["doc_id", "text"]).collect():
+        text = r.text or ""
+        base = [(s, e) for s, _, e in secrets.base_spans(text)]
+        covered_at = [any(s <= i < e for s, e in base) for i in range(len(text))]
+        want, at = [], 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] in inside:
+                end += 1
+            word = text[at:end]
+            tokens = len(scanner.encoding.encode_ordinary(word)) if len(word) >= config.least else 0
+            if (tokens and not all(covered_at[at:end]) and len(word) < 2 * tokens and not secrets._excluded(word)
+                    and not (len(word) < config.least_word and secrets._ONE_CASE.fullmatch(word))):
+                want.append((at, end))
+            at = max(end, at + 1)
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        assert [(int(s), int(e)) for k, s, e in spans if k == "random"] == want, text
+        assert (r.redacted if spans else text) == masked(text, [(int(s), int(e)) for _, s, e in spans])
+
+
 def test_packing_keeps_frequent_words():
     import pyarrow as pa
 
@@ -277,6 +321,49 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == toxic for r, toxic in asked) >= .97 * len(asked)
 
 
+def test_toxicity_model_equals_brute_force(spark):
+    """Ratios counted by hand, and weights that no direction improves."""
+    import numpy as np
+    import pyarrow as pa
+
+    from rareclass.llm.words import words
+
+    sf, config = "/root/testdata/sf0.01", toxicity.ToxicityConfig(bits=12, fitted_features=400, iterations=400, regularisation=2e-3)
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = toxicity.training_rows(docs, labels, config)
+    told = [(r.toxic, r.text) for r in rows.collect()]
+    place = {}
+
+    def grams(word):
+        """Places of a word's n-grams with its ends, each hashed on its own."""
+        if word not in place:
+            w = words(pa.array([word]))
+            place[word] = toxicity.word_grams(w, np.array([0]), config)[1].tolist()
+            n = len(word.decode()) + 2
+            assert len(place[word]) == sum(max(0, n - k + 1) for k in (3, 4, 5))
+        return place[word]
+
+    x = np.zeros((len(told), config.dimension))
+    for i, (_, text) in enumerate(told):
+        for word in {w.lower() for w in text.encode().split()}:
+            np.add.at(x[i], grams(word), 1)
+    y = np.array([t for t, _ in told], dtype=float)
+    p, q = (x[y == c].sum(axis=0) + config.smoothing for c in (1, 0))
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    chosen = np.sort(np.argsort(-np.abs(ratio) * np.sqrt(p + q), kind="stable")[:400])
+    model = toxicity.fit(rows, config)
+    assert set(np.flatnonzero(model.weights)) <= set(chosen)
+    z = x[:, chosen] * ratio[chosen]
+    w = model.weights[chosen] / ratio[chosen]
+    loss = lambda v, b: np.mean(np.logaddexp(0, z @ v + b) - y * (z @ v + b)) + config.regularisation * np.abs(v).sum()
+    slope = z.T @ (1 / (1 + np.exp(-(z @ w + model.bias))) - y) / len(y)
+    off = np.where(w == 0, np.maximum(np.abs(slope) - config.regularisation, 0), np.abs(slope + config.regularisation * np.sign(w)))
+    assert off.max() < .1 * config.regularisation and loss(w, model.bias) < .7 * loss(0 * w, np.log(y.mean() / (1 - y.mean())))
+    text = told[0][1]
+    one = toxicity.score(frame(spark, [(1, text)]), model, ["doc_id"]).first().score
+    assert one == pytest.approx(1 / (1 + np.exp(-(x[0] @ model.weights + model.bias))), abs=1e-9)
+
+
 def test_toxicity_samples_each_class(spark):
     rows = [(i, f"word{i} " + ("vile" if i % 50 == 0 else "fine")) for i in range(1000)] + [(0, "a different text")]
     labels = spark.createDataFrame([(i, int(i % 50 == 0)) for i in range(1000)], "doc_id bigint, toxic int")
