@@ -1,4 +1,5 @@
 import json
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -238,3 +239,25 @@ def test_held_out_rows_do_not_move_the_fit(spark):
     moved = df.withColumn("Amount", F.when(F.col("row_id") % 2 == 1, F.lit(1e9)).otherwise(F.col("Amount")))
     fits = [features.MixedScaler().fit(d.where("row_id % 2 = 0")) for d in (df, moved)]
     assert np.array_equal(*[f.getOrDefault("center") for f in fits])
+
+
+def test_folders_of_parallel_jobs_belong_to_the_caller(spark):
+    from rareclass import session
+    from rareclass.plans.experiment import _parallel
+
+    with session.scratch(spark):
+        kept = _parallel(spark, 2, [lambda i=i: session.materialize(spark.range(i), "parallel").inputFiles()[0] for i in (3, 4)])
+        assert all(os.path.exists(f.removeprefix("file://")) for f in kept)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in kept)
+
+
+def test_training_rows_are_kept_once(spark):
+    """The fit rows with and without SMOTE read the prepared rows; only synthetic rows are kept beside them."""
+    from rareclass.plans.experiment import shared_frames
+
+    df = with_ids(spark, transactions_frame(500, 50))
+    frames = shared_frames(df, {}, CONFIG)
+    assert frames.parts["train"].storageLevel.useMemory and frames.synthetic.storageLevel.useMemory
+    assert not any(f.storageLevel.useMemory for f in frames.fit_rows.values())
+    assert frames.fit_rows[True].count() == df.count() + frames.synthetic.count() > frames.fit_rows[False].count() == df.count()
+    frames.release()
