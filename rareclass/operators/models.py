@@ -68,21 +68,24 @@ def make_classifier(algorithm: str, params: dict, train_rows: int, seed: int, la
     if algorithm == "Decision Tree":
         return DecisionTreeClassifier(impurity=params["criterion"], **tree)
     if algorithm == "Random Forest":
+        # A row keeps its node in every tree, so that a level does not walk all trees from their roots again.
         return RandomForestClassifier(
             numTrees=params["n_estimators"], subsamplingRate=params["max_samples"], bootstrap=params.get("bootstrap", True),
-            featureSubsetStrategy=str(params["max_features"]), **tree)
+            featureSubsetStrategy=str(params["max_features"]), cacheNodeIds=True, **tree)
     raise ValueError(f"Unknown algorithm: {algorithm}")
 
 
 def training_rows(prepared: DataFrame, use_smote: bool, config: TrainingConfig, label: str = TARGET) -> DataFrame:
     """(features, label, synthetic) of all original rows, plus synthetic rows if asked for."""
     real = prepared.select("features", F.col(label).cast("double").alias(label), F.lit(False).alias("synthetic"))
-    if not use_smote:
-        return real
+    return real.unionByName(synthetic_rows(prepared, config, label)) if use_smote else real
+
+
+def synthetic_rows(prepared: DataFrame, config: TrainingConfig, label: str = TARGET) -> DataFrame:
+    """(features, label, synthetic) of the rows that SMOTE adds."""
     arrays = prepared.select(ROW_ID, F.col(label).cast("int").alias(label), vector_to_array("features").alias("x"))
     new = smote(arrays, "x", config.smote_ratio, config.smote_neighbors, config.seed, label=label)
-    return real.unionByName(new.select(
-        array_to_vector("x").alias("features"), F.lit(1.0).alias(label), F.lit(True).alias("synthetic")))
+    return new.select(array_to_vector("x").alias("features"), F.lit(1.0).alias(label), F.lit(True).alias("synthetic"))
 
 
 class ResampledClassifier(Estimator):

@@ -16,7 +16,7 @@ from rareclass.operators.features import MedianImputer, MixedScaler
 from rareclass.operators.logistic import fit_together, scores_together
 from rareclass.plans.catalog import query, rounded
 from rareclass.plans.experiment import (
-    CANDIDATE_COLUMNS, TUNING_COLUMNS, Prepared, _frame, candidate_table, fold_scores, score_parts, shared_frames)
+    CANDIDATE_COLUMNS, TUNING_COLUMNS, Prepared, _frame, _parallel, candidate_table, fold_scores, score_parts, shared_frames)
 from rareclass.plans.fixture import transactions
 from rareclass.plans.oracle import FOLDED, rnd, sql, union
 from rareclass.session import materialize, shared_dir
@@ -36,12 +36,13 @@ def _frames(parted):
 
 def _baseline(spark, d, algorithm):
     frames = _frames(_split(spark, d))
-    scores = None
-    for use_smote in (False, True):
+
+    def scored(use_smote):
         clf = models.fit_classifier(frames.fit_rows[use_smote], algorithm, models.default_params(algorithm, CONFIG), CONFIG.seed)
-        one = score_parts(clf, models.experiment_key(algorithm, use_smote, "baseline"), frames.parts)
-        scores = one if scores is None else scores.unionByName(one)
-    out = materialize(metrics.metric_rows(scores), "baseline-metrics")
+        return score_parts(clf, models.experiment_key(algorithm, use_smote, "baseline"), frames.parts)
+
+    plain, smote = _parallel(spark, CONFIG.n_jobs, [lambda: scored(False), lambda: scored(True)])
+    out = materialize(metrics.metric_rows(plain.unionByName(smote)), "baseline-metrics")
     frames.release()
     return out
 

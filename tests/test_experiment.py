@@ -241,6 +241,11 @@ def test_held_out_rows_do_not_move_the_fit(spark):
     assert np.array_equal(*[f.getOrDefault("center") for f in fits])
 
 
+def test_forests_keep_the_node_of_each_row():
+    forest = models.make_classifier("Random Forest", models.default_params("Random Forest", CONFIG), 0, 1)
+    assert forest.getCacheNodeIds()
+
+
 def test_folders_of_parallel_jobs_belong_to_the_caller(spark):
     from rareclass import session
     from rareclass.plans.experiment import _parallel
