@@ -24,6 +24,7 @@ from rareclass.session import materialize
 BLOCK_POINTS = 4096
 FAN = 32
 FIRST_VISITS = 2
+LARGEST = 1e150  # squares and products of smaller values are finite
 _ROOT = "0"
 
 
@@ -44,20 +45,42 @@ def _ids(block: pd.DataFrame) -> np.ndarray:
     return np.asarray(block["pid"].tolist())
 
 
+def _candidates(q: np.ndarray, m: np.ndarray, same: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of every pair that can be among the ``k`` nearest of its row, in order.
+
+    Distances by one matrix product choose them, with room for the rounding of the product.
+    """
+    qq, mm = (q * q).sum(axis=1), (m * m).sum(axis=1)
+    near = qq[:, None] + mm[None, :] - 2 * (q @ m.T)
+    near[same] = np.inf
+    room = 8 * (q.shape[1] + 8) * np.finfo(float).eps * (qq + mm.max())
+    kth = np.partition(near, k - 1, axis=1)[:, k - 1]
+    return np.nonzero((near <= (kth + room)[:, None]) & ~same)
+
+
 def nearest_in_block(queries: pd.DataFrame, members: pd.DataFrame, k: int, step: int = 512) -> pd.DataFrame:
     """The k nearest members of each query, itself excluded; ties go to the smaller id."""
     qid, mid = _ids(queries), _ids(members)
     by_id = np.argsort(mid, kind="stable")
     mid, m_all = mid[by_id], _matrix(members["x"])[by_id]
     q_all = _matrix(queries["x"])
+    finite = bool((np.abs(q_all) < LARGEST).all() and (np.abs(m_all) < LARGEST).all())
+    center = m_all.mean(axis=0)
+    q_near, m_near = q_all - center, m_all - center
+    kk = min(k, len(mid))
     asked, picked, dist = [], [], []
     for at in range(0, len(qid), step):
-        d = squared_distances(q_all[at:at + step], m_all)
-        d[qid[at:at + step, None] == mid[None, :]] = np.inf
-        kk = min(k, d.shape[1])
-        kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        row, column = np.nonzero((d <= kth[:, None]) & np.isfinite(d))  # k per row, and ties of the last
-        near = d[row, column]
+        same = qid[at:at + step, None] == mid[None, :]
+        if finite:
+            row, column = _candidates(q_near[at:at + step], m_near, same, kk)
+        else:
+            row, column = np.nonzero(~same)
+        near = np.zeros(len(row))
+        for j in range(q_all.shape[1]):
+            diff = q_all[at + row, j] - m_all[column, j]
+            near += diff * diff
+        kept = np.isfinite(near)
+        row, column, near = row[kept], column[kept], near[kept]
         order = np.lexsort((column, near, row))
         row, column, near = row[order], column[order], near[order]
         first = np.searchsorted(row, row)

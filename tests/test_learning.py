@@ -72,6 +72,27 @@ def test_ksg_against_brute_force(spark):
     assert large == pytest.approx(got, abs=1e-3)
 
 
+def test_nearest_in_block_compares_by_one_product(monkeypatch):
+    """No distance is summed coordinate by coordinate but those of candidates; results stay exact."""
+    import pandas as pd
+
+    from rareclass.operators import neighbors
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 6)) + 1e4  # far from zero, where the product rounds most
+    x[5], x[400:430] = 1e9, np.round(x[400:430] - 1e4) + 1e4  # an outlier and ties
+    want = squared_distances(x, x)
+    np.fill_diagonal(want, np.inf)
+    monkeypatch.setattr(neighbors, "squared_distances", lambda a, b: pytest.fail("all pairs, coordinate by coordinate"))
+    block = pd.DataFrame({"pid": np.arange(900), "x": list(x)})
+    got = neighbors.nearest_in_block(block, block, 5)
+    near = np.argsort(want, axis=1, kind="stable")[:, :5]
+    assert got["nid"].to_numpy().reshape(900, 5).tolist() == near.tolist()
+    assert got["d2"].to_numpy().reshape(900, 5).tolist() == np.take_along_axis(want, near, axis=1).tolist()
+    huge = pd.DataFrame({"pid": [1, 2, 3], "x": [np.array([1e200]), np.array([0.0]), np.array([1.0])]})
+    assert neighbors.nearest_in_block(huge, huge, 1)[["pid", "nid"]].to_numpy().tolist() == [[2, 3], [3, 2]]
+
+
 @pytest.mark.parametrize("block, fan", [(5000, 8), (60, 16), (20, 3)])
 def test_neighbors_are_exact(spark, block, fan):
     rng = np.random.default_rng(1)
