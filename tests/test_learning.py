@@ -72,6 +72,41 @@ def test_ksg_against_brute_force(spark):
     assert large == pytest.approx(got, abs=1e-3)
 
 
+def test_ksg_settles_a_bucket_in_one_sort():
+    """All points of a bucket but a few at its ends are counted without rows of other buckets."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    x, label = np.sort(rng.choice(100_000, 3000, replace=False)), rng.integers(0, 2, 3000)
+    cuts, own = [np.array([30_000, 70_000])], (x >= 30_000) & (x < 70_000)
+    sizes = {(0, c): int((label == c).sum()) for c in (0, 1)}
+    table = pa.table({"f": np.zeros(own.sum(), dtype=np.int32), "b": np.ones(own.sum(), dtype=np.int32), "x": x[own], "label": label[own],
+                      "again": pa.nulls(int(own.sum()), pa.struct([("key", pa.int64())]))})
+    found = features._count_bucket(table, cuts, sizes, 3).to_pandas()
+    ends, want = found[found["kind"] == 2], {}
+    assert len(ends) <= 4 * 3 * 2 and (ends["m"] == 0).sum() <= 2 * 3 * 2
+    unsettled = set(ends[ends["m"] == 0]["x"])
+    for at, c in zip(x[own], label[own]):
+        if at not in unsettled:
+            r = np.sort(np.abs(x[label == c] - at))[3]
+            m = int((np.abs(x - at) < r).sum())
+            want[(c, m)] = want.get((c, m), 0) + 1
+    counts = found[found["kind"] == 0]
+    assert {(c, m): w for c, m, w in zip(counts["label"], counts["m"], counts["w"])} == want
+
+
+def test_ksg_with_shared_keys_and_missing_labels(spark):
+    """Rows that share a key count as one, with the counts of all; rows without a label are left out."""
+    rows = [(i, i % 2, float(i * i % 101) + (i % 2) * 40) for i in range(200)]
+    got = []
+    for extra in ([], [(300 + i, None, float(i)) for i in range(50)], [(i, i % 2, rows[i][2]) for i in range(60)]):
+        df = spark.createDataFrame(rows + extra, "row_id long, Class int, x double")
+        each = {features.mutual_information_ksg(df, ["x"], bucket_rows=n).first()["mutual_information"] for n in (9, 60, 10_000)}
+        assert max(each) - min(each) < 1e-12
+        got.append(max(each))
+    assert got[0] == pytest.approx(got[1], abs=1e-12) and got[0] > 0 and got[2] != got[0]
+
+
 def test_nearest_in_block_compares_by_one_product(monkeypatch):
     """No distance is summed coordinate by coordinate but those of candidates; results stay exact."""
     import pandas as pd
