@@ -33,6 +33,19 @@ class PieceConfig:
     cached_units: int = 1 << 18
 
 
+class _Solved(dict):
+    """Unit -> its ids as bytes; a unit that is missing is solved. Starts anew when full."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= self.vocabulary.limit:
+            self.clear()
+        ids = self[unit] = np.array(self.vocabulary.solve(unit), dtype="<u4").tobytes()
+        return ids
+
+
 class Vocabulary:
     """Pieces with scores, bytes for characters outside them, and the automaton."""
 
@@ -62,9 +75,10 @@ class Vocabulary:
             self.bytes_of.append(value)
         if len(self.byte_ids) < 256:
             raise ValueError("The vocabulary has no bytes to fall back on.")
+        self.bytes_of = np.array(self.bytes_of, dtype=object)  # ids pick many at once
         self.automaton.make_automaton()
         self.unknown, self.limit = least - config.unknown_penalty, config.cached_units
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Solved(self)
 
     def solve(self, unit: str) -> tuple[int, ...]:
         """Ids of the best segmentation; on ties the longer last piece wins."""
@@ -99,20 +113,11 @@ class Vocabulary:
         """Ids of a text, with one space put before it; none for an empty text."""
         if not text:
             return np.zeros(0, dtype="<u4")
-        units = _UNIT.findall(" " + text)
-        distinct = set(units)
-        new = {unit: self.solve(unit) for unit in distinct.difference(self.known)}
-        if len(self.known) + len(new) <= self.limit:
-            self.known.update(new)
-            found = self.known
-        else:  # start anew with the units of this text, if they fit
-            found = new | {unit: self.known[unit] for unit in distinct.difference(new)}
-            self.known = found if len(found) <= self.limit else {}
-        return np.fromiter(chain.from_iterable(map(found.__getitem__, units)), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, _UNIT.findall(" " + text))), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; it undoes :meth:`encode` exactly."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
+        return b"".join(self.bytes_of[ids]).decode("utf-8", "replace")[1:]
 
 
 def vocabulary_of(config: PieceConfig) -> Vocabulary:

@@ -186,6 +186,16 @@ def test_sentence_pieces_are_best_and_come_back(spark, sf):
     assert sentence_pieces.encode(frame(spark, []), config).count() == 0
 
 
+def test_sentence_pieces_keep_solved_units_as_bytes(monkeypatch):
+    """A unit is solved once, and a text is put together from the bytes of its units."""
+    vocabulary = sentence_pieces.Vocabulary(sentence_pieces.PieceConfig(tokenizer_path("piece_bpe_32k.model")))
+    first = vocabulary.encode("one two  one \u2603 two")
+    assert b"".join(vocabulary.known[u] for u in (" one", " two", "  one", " \u2603", " two")) == first.tobytes()
+    monkeypatch.setattr(vocabulary, "solve", lambda unit: pytest.fail("solved again"))
+    assert vocabulary.encode("two \u2603").tobytes() == vocabulary.known[" two"] + vocabulary.known[" \u2603"]
+    assert vocabulary.decode(first) == "one two  one \u2603 two"
+
+
 def test_secrets_beside_base_spans():
     rng = random.Random(2)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
