@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rareclass.config import ALGORITHMS, ROW_ID, TARGET, TrainingConfig
+from rareclass.operators.forest import fit_forests
 from rareclass.operators.metrics import curve, ranking_metrics
 from rareclass.operators.resample import smote
 
@@ -105,10 +106,17 @@ class ResampledClassifier(Estimator):
 
 
 def fit_classifier(rows: DataFrame, algorithm: str, params: dict, seed: int):
+    if algorithm == "Random Forest":
+        return forests_together(rows, [params], seed)[0]
     n = rows.count() if algorithm == "Logistic Regression" else 0
     return make_classifier(algorithm, params, n, seed).fit(rows.select("features", TARGET))
 
 
+def forests_together(rows: DataFrame, candidates: list[dict], seed: int) -> list:
+    """The forests of all ``candidates`` on the same rows, grown side by side."""
+    return fit_forests(rows.select("features", TARGET), [make_classifier("Random Forest", q, 0, seed) for q in candidates])
+
+
 def positive_score(df: DataFrame, model, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``score`` = P(class 1)."""
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias("score"))

@@ -10,7 +10,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -98,6 +100,15 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def parallel(spark: SparkSession, n_jobs: int, jobs: list) -> list:
+    """Run independent driver-side jobs; each is a series of distributed Spark jobs.
+
+    What they write to shared folders belongs to the ``scratch`` of the caller.
+    """
+    with ThreadPoolExecutor(max_workers=n_jobs) as pool:
+        return [f.result() for f in [pool.submit(contextvars.copy_context().run, inheritable_thread_target(spark)(j)) for j in jobs]]
+
+
 def spread(df):
     """Use all cores on a small input: repartition only if it has fewer splits than cores.
 
