@@ -95,3 +95,22 @@ def test_features_of_a_node_by_strategy():
     each = {"all": 20, "sqrt": 5, "log2": 5, "onethird": 7, "0.5": 10, "4": 4, "1.0": 20, "auto": 5}
     assert {s: forest.features_per_node(s, 20, 3) for s in each} == each
     assert forest.features_per_node("auto", 20, 1) == 20
+
+
+def test_the_search_grows_the_forests_of_a_fold_together(spark, rows, monkeypatch):
+    """The candidates of a fold share binned rows and passes; each is scored on all parts."""
+    from types import SimpleNamespace
+
+    from rareclass.config import ROW_ID, TrainingConfig
+    from rareclass.plans import experiment
+
+    binned, one = [], forest.bin_rows
+    monkeypatch.setattr(forest, "bin_rows", lambda *a: binned.append(1) or one(*a))
+    part = rows.withColumn(ROW_ID, F.monotonically_increasing_id())
+    frames = SimpleNamespace(fit_rows={False: rows}, parts={"train": part, "held_out": part.limit(50)})
+    p = SimpleNamespace(spark=spark, config=TrainingConfig())
+    space = [DRAWN, {**DRAWN, "max_depth": 2}, {**DRAWN, "n_estimators": 3}]
+    seconds, scores = experiment._candidate_scores(p, frames, "Random Forest", False, space)
+    assert binned == [1] and set(seconds) == {1, 2, 3} and len(set(seconds.values())) == 1
+    found = {(r["experiment"], r["partition"]): r["count"] for r in scores.groupBy("experiment", "partition").count().collect()}
+    assert found == {(f"Random Forest | None | tuned | {i}", n): k for i in (1, 2, 3) for n, k in (("train", 3000), ("held_out", 50))}
