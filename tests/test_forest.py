@@ -36,7 +36,7 @@ def test_a_forest_keeps_no_row_in_the_library(rows, monkeypatch):
     """The library's fit sees a stub of one row per class; it kept over a kilobyte for each row of the table."""
     fit, seen = RandomForestClassifier.fit, []
     monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: seen.append(df.count()) or fit(self, df, *a))
-    models.fit_classifier(rows, "Random Forest", DRAWN, 1)
+    models.forests_together(rows, [DRAWN], 1)
     assert seen == [2]
 
 
@@ -66,7 +66,7 @@ def test_what_grows_beside_a_forest_changes_nothing(rows):
 def test_drawn_forests_judge_as_the_library_s(rows):
     judge = models.AveragePrecisionEvaluator()
     params = {**DRAWN, "n_estimators": 40}
-    ours, theirs = (m.transform(rows) for m in (models.fit_classifier(rows, "Random Forest", params, 1), _made(params).fit(rows)))
+    ours, theirs = (m.transform(rows) for m in (models.forests_together(rows, [params], 1)[0], models.fit_classifier(rows, "Random Forest", params, 1)))
     assert judge.evaluate(ours) == pytest.approx(judge.evaluate(theirs), abs=0.02)
 
 
